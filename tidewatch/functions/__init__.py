@@ -13,7 +13,7 @@ from tidewatch.functions.labels import (
     vessel_type_desc,
     watch_period,
 )
-from tidewatch.functions.numeric import implied_speed, kmh_to_kts, parity_round, to_int
+from tidewatch.functions.numeric import implied_speed, kmh_to_kts, parity_round, round_positive, to_int
 from tidewatch.functions.text import blank_to_null
 from tidewatch.functions.timing import gap_minutes, hours_between, seconds_between, time_key
 
@@ -32,6 +32,7 @@ __all__ = [
     "parity_round",
     "planar_degrees",
     "risk_score",
+    "round_positive",
     "season",
     "seconds_between",
     "stay_category",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatch.functions.numeric import parity_round
+from tidewatch.functions.numeric import round_positive
 
 # Upper km/h bounds of Beaufort classes 0 to 11.
 BEAUFORT_KMH = [2, 6, 12, 20, 29, 39, 50, 62, 75, 89, 103, 117]
@@ -114,4 +114,4 @@ def risk_score(gap_min: Column, distance_nm: Column, speed_kts: Column) -> Colum
     gap_part = F.least(gap_min, F.lit(1440.0)) / F.lit(14.4) * F.lit(0.4)
     distance_part = F.least(distance_nm, F.lit(500.0)) / F.lit(5.0) * F.lit(0.3)
     speed_part = F.when(speed_kts > 25, F.lit(100.0)).when(speed_kts > 15, F.lit(50.0)).otherwise(F.lit(0.0))
-    return F.least(F.lit(100.0), parity_round(gap_part + distance_part + speed_part * F.lit(0.3)))
+    return F.least(F.lit(100.0), round_positive(gap_part + distance_part + speed_part * F.lit(0.3)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatch.functions.numeric import parity_round
+from tidewatch.functions.numeric import round_positive
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:
@@ -14,11 +14,11 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 def gap_minutes(ts: Column, previous: Column) -> Column:
-    return parity_round(seconds_between(ts, previous) / F.lit(60.0), 1)
+    return round_positive(seconds_between(ts, previous) / F.lit(60.0), 1)
 
 
 def hours_between(later: Column, earlier: Column) -> Column:
-    return parity_round(seconds_between(later, earlier) / F.lit(3600.0), 2)
+    return round_positive(seconds_between(later, earlier) / F.lit(3600.0), 2)
 
 
 def time_key(ts: Column) -> Column:

@@ -93,6 +93,6 @@ def fct_vessel_positions(staged: DataFrame, bucket: str = "hour") -> DataFrame:
         F.col("mmsi").alias("vessel_key"),
         *kept.columns[1:],
         time_key(F.col("position_ts")).alias("time_key"),
-        F.when(F.col("prev_lat").isNotNull(), haversine_nm(*there, *here)).alias("distance_nm"),
+        haversine_nm(*there, *here).alias("distance_nm"),
         gap_minutes(F.col("position_ts"), F.col("prev_ts")).alias("time_gap_minutes"),
     )
