@@ -42,7 +42,7 @@ def register(
     columns = T.StructType([*df.schema.fields, *day])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     layout = f"partitioned by (`{day[0].name}`)" if day else ""
-    spark.sql(f"create database if not exists {database}")
+    spark.sql(f"create database if not exists {database} location '{path.rsplit('/', 1)[0]}'")
     spark.sql(f"drop table if exists {database}.{name}")
     spark.sql(f"create table {database}.{name} ({ddl}) using parquet {layout} location '{path}'")
     if day:
@@ -65,6 +65,7 @@ def schema_text(catalog: DataFrame, database: str) -> DataFrame:
     described = F.concat("column_name", F.lit(" ("), "data_type", F.lit(")"))
     columns = F.array_sort(F.collect_list(F.struct("ordinal", described.alias("text"))))
     return catalog.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_columns"),
         F.concat(
             F.lit(f"- {database}."),
             F.col("table_name"),
