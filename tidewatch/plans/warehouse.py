@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,14 @@ from tidewatch.session import fresh_path
 from tidewatch.sources.tables import publish, register
 
 LAYERS = {
-    "silver": ["stg_vessel_positions", "near_port_positions", "stg_port_calls", "stg_ports", "stg_marine_weather"],
+    "silver": [
+        "stg_vessel_positions",
+        "near_port_positions",
+        "port_events",
+        "stg_port_calls",
+        "stg_ports",
+        "stg_marine_weather",
+    ],
     "gold": [
         "fct_vessel_positions",
         "fct_port_calls",
@@ -25,6 +33,22 @@ LAYERS = {
     ],
 }
 
+# Models that can be built side by side, in order of dependence.
+WAVES = [
+    [
+        "stg_vessel_positions",
+        "dim_vessels_scd2",
+        "stg_marine_weather",
+        "stg_ports",
+        "dim_time",
+        "dim_weather_zones",
+    ],
+    ["near_port_positions", "fct_vessel_positions", "dim_vessels", "dim_ports"],
+    ["port_events", "fct_ais_anomalies", "obt_vessel_tracking"],
+    ["stg_port_calls"],
+    ["fct_port_calls"],
+]
+
 # Facts whose files are laid out by day, and the time that decides the day.
 DAILY = {"fct_vessel_positions": "position_ts", "obt_vessel_tracking": "position_ts"}
 
@@ -57,7 +81,8 @@ class Warehouse:
         models: dict[str, Callable[[], DataFrame]] = {
             "stg_vessel_positions": lambda: positions.stage_positions(self.raw_positions),
             "near_port_positions": lambda: port_calls.near_ports(t("stg_vessel_positions"), self.raw_ports),
-            "stg_port_calls": lambda: port_calls.port_calls(port_calls.port_events(t("near_port_positions"))),
+            "port_events": lambda: port_calls.port_events(t("near_port_positions")),
+            "stg_port_calls": lambda: port_calls.port_calls(t("port_events")),
             "stg_ports": lambda: ports.clean_ports(self.raw_ports),
             "stg_marine_weather": lambda: weather.stage_weather(self.raw_weather),
             "fct_vessel_positions": lambda: positions.fct_vessel_positions(t("stg_vessel_positions")),
@@ -85,11 +110,15 @@ class Warehouse:
             self._built[name] = stored.select(*df.columns)
         return self._built[name]
 
-    def build(self) -> dict[str, DataFrame]:
-        """Publish every model."""
-        return {name: self.table(name) for names in LAYERS.values() for name in names}
+    def build(self, threads: int = 4) -> dict[str, DataFrame]:
+        """Publish every model, up to ``threads`` at a time."""
+        with ThreadPoolExecutor(threads) as pool:
+            for wave in WAVES:
+                list(pool.map(self.table, wave))
+        return dict(self._built)
 
     def gold(self) -> dict[str, DataFrame]:
+        self.build()
         return {name: self.table(name) for name in LAYERS["gold"]}
 
     def register_gold(self, database: str = "gold") -> None:
