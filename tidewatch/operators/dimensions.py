@@ -27,22 +27,33 @@ WEATHER_ZONES = [
 ]
 
 
-def latest_known(value: str, *order: str) -> Column:
-    """The value of the latest row that has one."""
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    return F.max_by(value, F.when(F.col(value).isNotNull(), rank))
+def sightings(df: DataFrame, key: str, attributes: list[str], ts: str) -> DataFrame:
+    """One row per key and combination of attributes: when seen first and last, and how often.
+
+    A hash aggregate that shrinks a vessel's pings to its few combinations on the
+    map side, so the order-dependent choice of values works on little data.
+    """
+    return df.groupBy(key, *attributes).agg(
+        F.min(ts).alias("seen_first"), F.max(ts).alias("seen_last"), F.count(F.lit(1)).alias("n_seen")
+    )
+
+
+def latest_known(value: str) -> Column:
+    """The value seen last; the larger one of two seen last together."""
+    return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct("seen_last", value)))
 
 
 def dim_vessels(staged: DataFrame) -> DataFrame:
     """One row per vessel with its latest known attributes and its activity."""
-    texts = ["imo", "vessel_name", "vessel_type_code", "call_sign", "cargo_code", "transceiver_class"]
+    plain = ["imo", "vessel_name", "vessel_type_code", "call_sign", "cargo_code", "transceiver_class"]
     sizes = ["length_m", "width_m", "draft_m"]
-    per_vessel = staged.groupBy(F.col("mmsi").alias("vessel_key")).agg(
-        *[latest_known(c, "position_ts").alias(c) for c in texts],
-        *[parity_round(latest_known(c, "position_ts"), 1).alias(c) for c in sizes],
-        F.count(F.lit(1)).alias("total_pings"),
-        F.min("position_ts").alias("first_seen"),
-        F.max("position_ts").alias("last_seen"),
+    seen = sightings(staged, "mmsi", plain + sizes, "position_ts")
+    per_vessel = seen.groupBy(F.col("mmsi").alias("vessel_key")).agg(
+        *[latest_known(c).alias(c) for c in plain],
+        *[parity_round(latest_known(c), 1).alias(c) for c in sizes],
+        F.sum("n_seen").alias("total_pings"),
+        F.min("seen_first").alias("first_seen"),
+        F.max("seen_last").alias("last_seen"),
     )
     return per_vessel.withColumn("vessel_type_desc", vessel_type_desc(F.col("vessel_type_code"))).select(
         "vessel_key",

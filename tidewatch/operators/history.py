@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import parity_round
-from tidewatch.operators.dimensions import latest_known
+from tidewatch.operators.dimensions import latest_known, sightings
 
 CHECKED = ["vessel_name", "vessel_type_code"]
 
@@ -18,20 +18,22 @@ def scd2_source(raw: DataFrame) -> DataFrame:
     known value counts, so an unchanged vessel never looks changed.
     """
 
-    def latest(column: str) -> Column:
-        return latest_known(column, "BaseDateTime", column)
-
     kept = raw.filter(
         F.col("MMSI").isNotNull() & F.col("LAT").between(-90, 90) & F.col("LON").between(-180, 180)
     )
-    return kept.groupBy(F.col("MMSI").alias("mmsi")).agg(
-        latest("IMO").alias("imo"),
-        latest("VesselName").alias("vessel_name"),
-        latest("VesselType").alias("vessel_type_code"),
-        latest("CallSign").alias("call_sign"),
-        parity_round(latest("Length"), 1).alias("length_m"),
-        parity_round(latest("Width"), 1).alias("width_m"),
-        parity_round(latest("Draft"), 1).alias("draft_m"),
+    attributes = ["IMO", "VesselName", "VesselType", "CallSign", "Length", "Width", "Draft"]
+    return (
+        sightings(kept, "MMSI", attributes, "BaseDateTime")
+        .groupBy(F.col("MMSI").alias("mmsi"))
+        .agg(
+            latest_known("IMO").alias("imo"),
+            latest_known("VesselName").alias("vessel_name"),
+            latest_known("VesselType").alias("vessel_type_code"),
+            latest_known("CallSign").alias("call_sign"),
+            parity_round(latest_known("Length"), 1).alias("length_m"),
+            parity_round(latest_known("Width"), 1).alias("width_m"),
+            parity_round(latest_known("Draft"), 1).alias("draft_m"),
+        )
     )
 
 

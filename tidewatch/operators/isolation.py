@@ -16,9 +16,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.session import ship_package
+
 TREES = 200
 SAMPLE = 256
-_NODES = "tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, depth array<double>"
+_NODES = "tree int, feature array<int>, cut array<double>, depth array<double>"
 
 
 def _expected_path(n: float) -> float:
@@ -30,37 +32,40 @@ def _expected_path(n: float) -> float:
 
 @dataclass(frozen=True)
 class Forest:
-    """Node arrays of every tree; a leaf has feature -1 and holds its path length."""
+    """Complete binary trees in arrays: the children of node i are 2i+1 and 2i+2.
+
+    A branch that ends early is continued by cuts every row passes on the left,
+    so scoring takes the same number of steps for all rows. ``depth`` holds the
+    path length of each place on the last level.
+    """
 
     feature: np.ndarray
     cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
     depth: np.ndarray
+    levels: int
     sample: int
 
 
-def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list]:
-    nodes: dict[str, list] = {"feature": [], "cut": [], "left": [], "right": [], "depth": []}
+def _grow(values: np.ndarray, rng: np.random.Generator, levels: int) -> tuple[list, list, list]:
+    inner = 2**levels - 1
+    feature, cut, depth = [0] * inner, [np.inf] * inner, [0.0] * (inner + 1)
 
-    def add(rows: np.ndarray, level: int) -> int:
-        me = len(nodes["feature"])
-        for part, empty in zip(nodes, (-1, 0.0, -1, -1, 0.0)):
-            nodes[part].append(empty)
+    def place(node: int, rows: np.ndarray, level: int) -> None:
         spread = np.flatnonzero(rows.min(axis=0) < rows.max(axis=0)) if len(rows) > 1 else []
-        if level >= limit or len(spread) == 0:
-            nodes["depth"][me] = level + _expected_path(len(rows))
-            return me
+        if level == levels or len(spread) == 0:
+            for _ in range(level, levels):
+                node = 2 * node + 1
+            depth[node - inner] = level + _expected_path(len(rows))
+            return
         f = int(rng.choice(spread))
-        cut = float(rng.uniform(rows[:, f].min(), rows[:, f].max()))
-        below = rows[:, f] <= cut
-        nodes["feature"][me], nodes["cut"][me] = f, cut
-        nodes["left"][me] = add(rows[below], level + 1)
-        nodes["right"][me] = add(rows[~below], level + 1)
-        return me
+        at = float(rng.uniform(rows[:, f].min(), rows[:, f].max()))
+        below = rows[:, f] <= at
+        feature[node], cut[node] = f, at
+        place(2 * node + 1, rows[below], level + 1)
+        place(2 * node + 2, rows[~below], level + 1)
 
-    add(values, 0)
-    return nodes
+    place(0, values, 0)
+    return feature, cut, depth
 
 
 def tagged_sample(df: DataFrame, columns: list[str], key: list[str], trees: int, sample: int, seed: int) -> DataFrame:
@@ -84,50 +89,41 @@ def tagged_sample(df: DataFrame, columns: list[str], key: list[str], trees: int,
 def iforest_fit(
     df: DataFrame, columns: list[str], key: list[str], trees: int = TREES, sample: int = SAMPLE, seed: int = 42
 ) -> Forest:
+    ship_package(df.sparkSession)
     tagged = tagged_sample(df, columns, key, trees, sample, seed)
-    limit = int(np.ceil(np.log2(sample)))
+    levels = int(np.ceil(np.log2(sample)))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
         rows = pdf.sort_values("_h").head(sample)[columns].to_numpy(dtype=float)
-        return pd.DataFrame([{"tree": tree, **_grow(rows, np.random.default_rng([seed, tree]), limit)}])
+        feature, cut, depth = _grow(rows, np.random.default_rng([seed, tree]), levels)
+        return pd.DataFrame([{"tree": tree, "feature": feature, "cut": cut, "depth": depth}])
 
     built = tagged.groupBy("tree").applyInPandas(build, _NODES).orderBy("tree").toPandas()
-    width = max(len(f) for f in built["feature"])
-
-    def stack(part: str, kind: type) -> np.ndarray:
-        out = np.zeros((len(built), width), dtype=kind)
-        for i, node_values in enumerate(built[part]):
-            out[i, : len(node_values)] = node_values
-        return out
-
-    return Forest(
-        stack("feature", int), stack("cut", float), stack("left", int), stack("right", int), stack("depth", float), sample
-    )
+    stacked = [np.stack([np.asarray(v) for v in built[part]]) for part in ("feature", "cut", "depth")]
+    return Forest(*stacked, levels, sample)
 
 
 def iforest_score(df: DataFrame, columns: list[str], forest: Forest, out: str = "iso_score") -> DataFrame:
     """Add a score in (0, 1], six decimals; higher is more unusual."""
+    ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         f = shared.value
         norm = _expected_path(f.sample)
+        inner = f.feature.shape[1]
         for batch in batches:
-            x = batch.to_numpy(dtype=float)
-            rows = np.arange(len(x))
-            total = np.zeros(len(x))
-            for t in range(len(f.feature)):
-                at = np.zeros(len(x), dtype=int)
-                while True:
-                    split_on = f.feature[t, at]
-                    inner = split_on >= 0
-                    if not inner.any():
-                        break
-                    low = x[rows, np.where(inner, split_on, 0)] <= f.cut[t, at]
-                    at = np.where(inner, np.where(low, f.left[t, at], f.right[t, at]), at)
-                total += f.depth[t, at]
+            n = len(batch)
+            by_column = np.ascontiguousarray(batch.to_numpy(dtype=float).T).ravel()
+            rows = np.arange(n)
+            total = np.zeros(n)
+            for feature, cut, depth in zip(f.feature * n, f.cut, f.depth):
+                at = np.zeros(n, dtype=np.int64)
+                for _ in range(f.levels):
+                    at = 2 * at + 1 + (by_column.take(rows + feature.take(at)) > cut.take(at))
+                total += depth.take(at - inner)
             yield pd.Series(np.round(np.exp2(-total / len(f.feature) / norm), 6))
 
     return df.withColumn(out, score(F.struct(*columns)))
