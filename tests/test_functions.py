@@ -28,7 +28,8 @@ def test_rounding_scales_the_double(spark):
 
 
 def test_to_int_rounds_to_nearest(spark):
-    assert column(spark, [(3.5,), (2.5,), (None,)], "x double", fn.to_int(F.col("x"))) == [4, 2, None]
+    assert column(spark, [(3.5,), (2.5,), (None,), (1e12,)], "x double", fn.to_int(F.col("x"))) == [4, 2, None, None]
+    assert column(spark, [("70.0",), ("x",)], "x string", fn.to_int(F.col("x"))) == [70, None]
 
 
 def test_beaufort_and_knots(spark):

@@ -24,8 +24,10 @@ def test_bulk_files_of_both_kinds_without_geometry(spark, tmp_path):
 
 def test_unparsable_text_becomes_null_and_is_reported(spark):
     text = raw(spark, [("a", 0, 1.0, 2.0)]).select(*[F.col(c).cast("string").alias(c) for c in schemas.AIS.names])
+    text = text.withColumn("VesselType", F.lit("70.0")).withColumn("Status", F.lit("1.5"))
     mixed = text.unionByName(text.withColumn("LAT", F.lit("north")).withColumn("MMSI", F.lit("bad")))
-    assert [r.LAT for r in ais.cast_ais(mixed).orderBy("MMSI").collect()] == [1.0, None]
+    rows = ais.cast_ais(mixed).orderBy("MMSI").collect()
+    assert [(r.LAT, r.VesselType, r.Status) for r in rows] == [(1.0, 70, 2), (None, 70, 2)]
     assert [r.MMSI for r in ais.bad_casts(mixed).collect()] == ["bad"]
 
 

@@ -41,8 +41,11 @@ def round_positive(value: Column, digits: int = 0) -> Column:
 
 
 def to_int(value: Column) -> Column:
-    """Double to int, rounding to the nearest (a plain Spark cast truncates)."""
-    return F.rint(value).cast("int")
+    """Number or numeric text to int, rounding to the nearest; null where that is no int.
+
+    A plain Spark cast truncates doubles and refuses text such as '70.0'.
+    """
+    return F.rint(value.try_cast("double")).try_cast("int")
 
 
 def kmh_to_kts(kmh: Column) -> Column:

@@ -179,8 +179,16 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
     """Each column minus its mean over its population deviation; a constant column is divided by 1."""
-    stats = {}
-    for c in columns:
+    stats = []
+    for i, c in enumerate(columns):
         deviation = F.stddev_pop(c)
-        stats[c] = (F.avg(c), F.when(deviation == 0, F.lit(1.0)).otherwise(deviation))
-    return df.withColumns({c: (F.col(c) - df.agg(mean).scalar()) / df.agg(dev).scalar() for c, (mean, dev) in stats.items()})
+        stats += [
+            F.avg(c).alias(f"mean_{i}"),
+            F.when(deviation == 0, F.lit(1.0)).otherwise(deviation).alias(f"deviation_{i}"),
+        ]
+    known = F.col("_stats")
+    return (
+        df.withColumn("_stats", df.agg(F.struct(*stats).alias("s")).scalar())
+        .withColumns({c: (F.col(c) - known[f"mean_{i}"]) / known[f"deviation_{i}"] for i, c in enumerate(columns)})
+        .drop("_stats")
+    )

@@ -23,7 +23,7 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose key the parent lacks; null keys pass."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    keys = parent.select(F.col(parent_column).alias(column))
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti").select(child.columns)
 
 
@@ -140,7 +140,7 @@ def _key_check(check: Check, df: DataFrame, tables: dict[str, DataFrame]) -> Dat
     if check.kind == "unique":
         failures = per_key.agg(F.count_if(F.col("n") > 1).alias("failures"))
     else:
-        parents = tables[check.parent].select(F.col(check.parent_column).alias("k")).distinct()
+        parents = tables[check.parent].select(F.col(check.parent_column).alias("k"))
         orphans = per_key.join(parents, "k", "left_anti")
         failures = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
     return failures.select(

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch import schemas
+from tidewatch.functions import to_int
+
+
+def _typed(field: T.StructField) -> Column:
+    return to_int(F.col(field.name)) if field.dataType == T.IntegerType() else F.col(field.name).try_cast(field.dataType)
 
 
 def cast_ais(df: DataFrame) -> DataFrame:
@@ -14,12 +20,12 @@ def cast_ais(df: DataFrame) -> DataFrame:
     Text that does not parse becomes null instead of failing the whole load;
     ``bad_casts`` returns those rows.
     """
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.AIS])
+    return df.select(*[_typed(f).alias(f.name) for f in schemas.AIS])
 
 
 def bad_casts(df: DataFrame) -> DataFrame:
     """Rows in which some value is lost by ``cast_ais``."""
-    lost = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in schemas.AIS]
+    lost = [F.col(f.name).isNotNull() & _typed(f).isNull() for f in schemas.AIS]
     return df.filter(F.array_contains(F.array(*lost), True))
 
 
