@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import hours_between, is_extended_stay, planar_degrees, stay_category, time_key
 from tidewatch.operators.neighbours import with_neighbour
+from tidewatch.session import fresh_path
+from tidewatch.sources.tables import publish
 
 # A cell is a little wider than the radius, so rounding in the division can
 # never put two points closer than the radius more than one cell apart.
@@ -77,6 +79,11 @@ def port_events(near: DataFrame, slow_kts: float = 1.0, bucket: str = "hour") ->
     return seen.withColumn("event_type", event).drop("prev_position_ts", "prev_sog")
 
 
+def stops(near: DataFrame) -> DataFrame:
+    """Only the pings with an event."""
+    return port_events(near).filter(F.col("event_type").isNotNull())
+
+
 def port_calls(events: DataFrame, departure: str = "next_arrival", bucket: str = "hour") -> DataFrame:
     """One row per arrival.
 
@@ -106,7 +113,13 @@ def port_calls(events: DataFrame, departure: str = "next_arrival", bucket: str =
 
 
 def stage_port_calls(staged: DataFrame, raw_ports: DataFrame, departure: str = "next_arrival") -> DataFrame:
-    return port_calls(port_events(near_ports(staged, raw_ports)), departure)
+    """Port calls from staged pings.
+
+    Pairing reads the events twice, so they are stored on the way instead of
+    being found again. They are few: only the pings that begin or end a stop.
+    """
+    events = stops(near_ports(staged, raw_ports))
+    return port_calls(publish(events, fresh_path(staged.sparkSession, "port-events")), departure)
 
 
 def fct_port_calls(calls: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from tidewatch.sources.tables import publish, register
 LAYERS = {
     "silver": [
         "stg_vessel_positions",
-        "near_port_positions",
         "port_events",
         "stg_port_calls",
         "stg_ports",
@@ -43,9 +42,8 @@ WAVES = [
         "dim_time",
         "dim_weather_zones",
     ],
-    ["near_port_positions", "fct_vessel_positions", "dim_vessels", "dim_ports"],
-    ["port_events", "fct_ais_anomalies", "obt_vessel_tracking"],
-    ["stg_port_calls"],
+    ["port_events", "fct_vessel_positions", "dim_vessels", "dim_ports"],
+    ["stg_port_calls", "fct_ais_anomalies", "obt_vessel_tracking"],
     ["fct_port_calls"],
 ]
 
@@ -80,8 +78,7 @@ class Warehouse:
         t = self.table
         models: dict[str, Callable[[], DataFrame]] = {
             "stg_vessel_positions": lambda: positions.stage_positions(self.raw_positions),
-            "near_port_positions": lambda: port_calls.near_ports(t("stg_vessel_positions"), self.raw_ports),
-            "port_events": lambda: port_calls.port_events(t("near_port_positions")),
+            "port_events": lambda: port_calls.stops(port_calls.near_ports(t("stg_vessel_positions"), self.raw_ports)),
             "stg_port_calls": lambda: port_calls.port_calls(t("port_events")),
             "stg_ports": lambda: ports.clean_ports(self.raw_ports),
             "stg_marine_weather": lambda: weather.stage_weather(self.raw_weather),
