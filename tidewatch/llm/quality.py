@@ -17,6 +17,8 @@ from tidewatch.llm.common import labelled_sample, prepare, stored
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CAPITALS = zlib.crc32(b"\x00capitals")
 _KEPT_CODES = 1 << 17
+#: Length of every document's vector; larger ones let few n-grams decide.
+_LENGTH = 6.0
 
 
 @dataclass(frozen=True)
@@ -27,7 +29,7 @@ class QualityModel:
 
 
 class WordGrams:
-    """Hashed word n-grams of texts as (slots, values), values of length one together.
+    """Hashed word n-grams of texts as (slots, values), the values a vector of fixed length.
 
     Words are lower-cased and runs of signs are words too; a word in capitals is
     led by a mark, so that the habit counts and not the word. A slot's value is
@@ -59,7 +61,7 @@ class WordGrams:
             return np.zeros(0, np.int64), np.zeros(0)
         unique, count = np.unique(np.concatenate(slots), return_counts=True)
         value = 1 + np.log(count)
-        return unique.astype(np.int64), value / np.sqrt((value**2).sum())
+        return unique.astype(np.int64), value * (_LENGTH / np.sqrt((value**2).sum()))
 
 
 def ftrl_weights(rows: list, labels: np.ndarray, size: int, passes: int, alpha: float, beta: float, l1: float, l2: float):
@@ -91,7 +93,7 @@ def fit_quality(
     longest: int = 2,
     shards: int = 4,
     passes: int = 3,
-    alpha: float = 0.5,
+    alpha: float = 2.0,
     beta: float = 1.0,
     l1: float = 0.02,
     l2: float = 0.1,

@@ -70,12 +70,12 @@ def fit_toxicity(
     keep: Column,
     label: str = "toxic",
     fit_rows: int = 12_000,
-    bits: int = 18,
+    bits: int = 20,
     shortest: int = 3,
     longest: int = 6,
-    features: int = 6_000,
-    steps: int = 120,
-    ridge: float = 1e-5,
+    features: int = 2_000,
+    steps: int = 150,
+    ridge: float = 1e-4,
 ) -> ToxicityModel:
     """Learn from at most ``fit_rows`` labelled documents whose label row satisfies ``keep``.
 
@@ -89,7 +89,7 @@ def fit_toxicity(
     sample = stored(labelled_sample(documents, labels, label, keep, fit_rows), "toxicity-sample")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, every = np.zeros((2, 1 << bits), np.int64), np.ones(1 << bits, bool)
+        counts, every = np.zeros((2, 1 << bits), np.int32), np.ones(1 << bits, bool)
         for batch in batches:
             for text, y in zip(batch["text"], batch["label"], strict=True):
                 counts[int(y > 0), _present(text, shortest, longest, every)] += 1
@@ -100,6 +100,7 @@ def fit_toxicity(
         sample.mapInPandas(count, "slot long, clean long, toxic long")
         .groupBy("slot")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .where("clean + toxic > 1")  # what one document has tells nothing
         .toPandas()
     )
     per_class = {r["label"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("label")).agg(F.count("*").alias("n")).collect()}
