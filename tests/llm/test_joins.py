@@ -218,13 +218,9 @@ def test_line_dedup_by_brute_force(spark):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{TINY}/documents.parquet").limit(60).collect())
     table = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(table).collect()}
-    hashes = {
-        r.key: r.simhash
-        for r in line_dedup.simhashes(
-            spark.createDataFrame(sorted({(n, w) for _, t in docs for raw in t.split("\n") if (n := raw.lower().strip(" \t\r")) for w in [n]}), "key string, line string")
-            .select("key", F.explode(F.split("line", " ")).alias("word"))
-        ).collect()
-    }
+    normal = {raw.lower().strip(" \t\r") for _, t in docs for raw in t.split("\n")} - {""}
+    words = spark.createDataFrame([(n,) for n in sorted(normal)], "key string").select("key", F.explode(F.split("key", " ")).alias("word"))
+    hashes = {r.key: r.simhash for r in line_dedup.simhashes(words).collect()}
     hub = {}
     first = {}
     for i, t in docs:
