@@ -1,6 +1,7 @@
 """Landed files in, layer tables out, all in fresh temporary folders."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -17,9 +18,31 @@ def test_bulk_files_of_both_kinds_without_geometry(spark, tmp_path):
     (tmp_path / "more").mkdir()
     (tmp_path / "more" / "day2.geoparquet").write_bytes(part.read_bytes())
     (tmp_path / "more" / "notes.txt").write_text("not data")
-    df = ais.read_ais(spark, str(tmp_path))
-    assert df.columns == schemas.AIS.names
-    assert df.count() == day.count() + spark.read.parquet(str(part)).count()
+    (tmp_path / "more" / "deeper").mkdir()
+    (tmp_path / "more" / "deeper" / "day3.parquet").write_bytes(part.read_bytes())
+    one = spark.read.parquet(str(part)).count()
+    df = ais.read_ais(spark, str(tmp_path / "more"))
+    assert df.columns == schemas.AIS.names and df.count() == one
+    assert ais.read_ais(spark, str(tmp_path / "x"), str(tmp_path / "more")).count() == day.count() + one
+    assert ais.read_ais(spark, str(tmp_path / "more" / "deeper" / "*")).count() == one
+    assert ais.read_ais(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_named_file_is_read_whatever_its_ending(spark, tmp_path):
+    raw(spark, [("a", 0, 1.0, 2.0)]).coalesce(1).write.parquet(str(tmp_path / "x"))
+    part = next((tmp_path / "x").glob("*.parquet"))
+    (tmp_path / "day2.pq").write_bytes(part.read_bytes())
+    assert ais.read_ais(spark, str(part), str(tmp_path / "day2.pq")).count() == 2
+
+
+def test_files_of_different_types_are_cast_each_on_its_own(spark, tmp_path):
+    day = raw(spark, [("7", 0, 1.0, 2.0)]).withColumn("VesselType", F.lit(70)).coalesce(1)
+    path = str(tmp_path / "days")
+    day.write.parquet(path)
+    for column, kind in (("VesselType", "double"), ("MMSI", "long"), ("LAT", "string"), ("VesselType", "double")):
+        day.withColumn(column, F.col(column).cast(kind)).write.mode("append").parquet(path)
+    rows = ais.read_ais(spark, path).collect()
+    assert [(r.MMSI, r.LAT, r.VesselType) for r in rows] == [("7", 1.0, 70)] * 5
 
 
 def test_unparsable_text_becomes_null_and_is_reported(spark):
@@ -44,7 +67,10 @@ def test_position_documents(spark, tmp_path):
     }
     (tmp_path / "poll.json").write_text(json.dumps(document, indent=2))
     (tmp_path / "broken.json").write_text("{ not json")
-    flat = ais.flatten_positions(ais.read_position_documents(spark, str(tmp_path)))
+    documents = ais.read_position_documents(spark, str(tmp_path))
+    broken = ais.broken_positions(documents).collect()
+    assert [(r.text, r.path.rsplit("/", 1)[1]) for r in broken] == [("{ not json", "broken.json")]
+    flat = ais.flatten_positions(documents)
     rows = {r.MMSI: r for r in flat.collect()}
     assert len(rows) == 3 and flat.schema == schemas.AIS
     assert (rows["230"].LON, rows["230"].LAT, rows["230"].VesselType) == (24.5, 60.1, 70)
@@ -54,14 +80,18 @@ def test_position_documents(spark, tmp_path):
     assert ais.incomplete_positions(flat).count() == 1
 
 
-def test_ports_csv_takes_the_first_file(spark, tmp_path):
-    header = ",".join(schemas.PORTS.names)
-    (tmp_path / "b.csv").write_text(header + "\n2,Second" + "," * 15 + "\n")
-    (tmp_path / "a.csv").write_text(header + '\n1,"Port, One",X,1.5,2.5,Large' + "," * 11 + "\n")
-    path = ports.first_csv(spark, str(tmp_path))
-    row = ports.read_ports(spark, path).first()
-    assert (row.port_index, row.port_name, row.latitude, row.harbor_type) == (1, "Port, One", 1.5, None)
-    assert ports.read_ports(spark, path, infer=True).schema["latitude"].dataType.typeName() == "double"
+def test_ports_csv_by_header_name(spark, tmp_path):
+    names = schemas.PORTS.names
+    (tmp_path / "a.csv").write_text(",".join(names) + '\n1,"Port ""X"", North",Y,10.5,-70.25,Large' + "," * 11 + "\n")
+    turned = ["longitude", "latitude", "port_name", "PORT_INDEX", "extra", "tide_range_m"]
+    (tmp_path / "b.csv").write_text(",".join(turned) + "\n-71.5,11.5,Second,2.0,?,high\n")
+    (tmp_path / "notes.txt").write_text("no ports")
+    rows = {r.port_index: r for r in ports.read_ports(spark, str(tmp_path)).collect()}
+    assert (rows[1].port_name, rows[1].country, rows[1].latitude, rows[1].longitude) == ('Port "X", North', "Y", 10.5, -70.25)
+    assert (rows[2].latitude, rows[2].longitude, rows[2].country, rows[2].tide_range_m) == (11.5, -71.5, None, None)
+    assert [(r.port_name, r.tide_range_m) for r in ports.bad_ports(spark, str(tmp_path)).collect()] == [("Second", "high")]
+    assert ports.read_ports(spark, str(tmp_path / "a.csv"), infer=True).schema["latitude"].dataType.typeName() == "double"
+    assert ports.read_ports(spark, str(tmp_path / "none")).count() == 0
 
 
 def hourly(zone, times, variables, value):
@@ -84,12 +114,24 @@ def test_weather_documents(spark, tmp_path):
     df = weather.load_weather(spark, str(tmp_path / "waves"), str(tmp_path / "winds"))
     assert df.schema.names == schemas.WEATHER.names
     rows = {(r.zone_name, r.timestamp_utc): r for r in df.collect()}
-    assert len(rows) == 4
+    assert sorted(rows) == [("z1", at(0)), ("z1", at(1))]  # no wind for z2, no waves for z3
     assert rows["z1", at(0)].wind_speed_10m_kmh == 11.0 and rows["z1", at(1)].wave_height_m == 2.0
-    assert rows["z2", at(0)].wind_speed_10m_kmh is None
     assert [r.value[:18] for r in weather.broken_documents(spark, str(tmp_path / "waves")).collect()] == ['{"zone_name": "z3"']
 
 
+def test_overlapping_polls_give_the_newest_value_once(spark, tmp_path):
+    times = ["2024-01-01T00:00", "2024-01-01T01:00", "2024-01-01T02:00"]
+    for name, variables in (("waves", schemas.WAVE_VARIABLES), ("winds", schemas.WIND_VARIABLES)):
+        (tmp_path / name).mkdir()
+        for n, (value, hours) in enumerate(((5.0, times[:2]), (1.0, times[1:]))):
+            file = tmp_path / name / f"{9 - n}.json"
+            file.write_text(json.dumps(hourly("z1", hours, variables, value)))
+            os.utime(file, (1_700_000_000 + n * 60,) * 2)
+    df = weather.load_weather(spark, str(tmp_path / "waves"), str(tmp_path / "winds"))
+    rows = {r.timestamp_utc: (r.wave_height_m, r.wind_speed_10m_kmh) for r in df.collect()}
+    assert rows == {at(0): (5.0, 5.0), at(1): (1.0, 1.0), at(2): (2.0, 2.0)} and df.count() == 3
+
+
 def test_publish_replaces_and_prunes_days(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(i, at(i * 12)) for i in range(6)], "i int, ts timestamp")

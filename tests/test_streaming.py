@@ -39,6 +39,10 @@ def test_ingest_equals_batch_and_resumes(spark, tmp_path):
     ingest_stream(spark, str(landing), *aside, once=True, incomplete=True).awaitTermination()
     assert spark.read.parquet(aside[0]).count() == 4
 
+    broken = [str(tmp_path / "broken"), str(tmp_path / "cp3")]
+    ingest_stream(spark, str(landing), *broken, once=True, broken=True).awaitTermination()
+    assert [r.text for r in spark.read.parquet(broken[0]).collect()] == ["{"]
+
 
 def test_live_tick_equals_batch(spark, tmp_path):
     rows = [(str(i % 7), i * 1.5 if i % 3 else 60 - i, 10.0 + i / 100, 20.0 + i) for i in range(40)]

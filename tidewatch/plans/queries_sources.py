@@ -6,6 +6,7 @@ shared folder, then reads them through the source under test.
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from tidewatch.plans.queries_serving import _LATEST
 from tidewatch.plans.registry import query, warehouse
 from tidewatch.session import fresh_path
 from tidewatch.sources import ais, ports, tables, weather
+from tidewatch.sources.files import named_files
 from tidewatch.streaming.ingest import ingest_stream
 from tidewatch.streaming.live import live_tick_stream
 
@@ -34,13 +36,17 @@ def _(spark, sf_dir):
 
 @query("src2_discover_files", _ALL_PINGS)
 def _(spark, sf_dir):
-    root = fresh_path(spark, "ais-days")
+    """A folder of exports that differ in types, beside other files and a sub-folder; one more file named itself."""
+    root, apart = fresh_path(spark, "ais-days"), fresh_path(spark, "ais-apart")
     raw = adapters.ais_raw(spark, sf_dir)
-    half = F.second("BaseDateTime") < 30
-    raw.filter(half).write.parquet(f"{root}/a")
-    raw.filter(~half).write.parquet(f"{root}/b")
-    raw.select("MMSI").write.option("header", True).csv(f"{root}/notes")
-    return ais.read_ais(spark, root)
+    part = F.second("BaseDateTime") % 3
+    raw.filter(part == 0).write.parquet(root)
+    wide = raw.withColumns({"VesselType": F.col("VesselType").cast("double"), "MMSI": F.col("MMSI").cast("long"), "LAT": F.col("LAT").cast("string")})
+    wide.filter(part == 1).write.mode("append").parquet(root)
+    raw.select("MMSI").write.mode("append").option("header", True).csv(root)
+    raw.filter(part == 2).withColumn("Status", F.col("Status").cast("long")).write.parquet(apart)
+    raw.write.parquet(f"{root}/older")
+    return ais.read_ais(spark, root, *named_files(spark, [apart], ["*"]))
 
 
 @query("src3_cast_ais", _ALL_PINGS)
@@ -50,15 +56,39 @@ def _(spark, sf_dir):
 
 
 _ALL_PORTS = check_sql("select * from ports_raw")
+_AWKWARD_PORTS = check_sql(
+    """select * replace (case when port_index % 7 = 0 then null else max_vessel_length_m end as max_vessel_length_m,
+ 'Port "' || port_name || '", ' || chr(10) || 'North' as port_name) from ports_raw"""
+)
+
+
+def _write_awkward_ports(raw: DataFrame, path: str) -> None:
+    """Quotes, commas and line breaks in text, a word in a number column, and columns in another order in a second file."""
+    text = raw.withColumns(
+        {
+            "port_name": F.concat(F.lit('Port "'), "port_name", F.lit('", \nNorth')),
+            "max_vessel_length_m": F.when(F.col("port_index") % 7 == 0, "unknown").otherwise(F.col("max_vessel_length_m").cast("string")),
+        }
+    )
+    half = F.col("port_index") % 2 == 0
+    for part, columns in ((text.filter(half), raw.columns), (text.filter(~half), raw.columns[::-1])):
+        part.select(columns).write.mode("append").option("header", True).option("escape", '"').csv(path)
 
 
-@query("src4_read_ports", _ALL_PORTS)
+@query("src4_read_ports", _AWKWARD_PORTS)
 def _(spark, sf_dir):
     path = fresh_path(spark, "ports-csv")
-    adapters.raw_ports(spark, sf_dir).write.option("header", True).csv(path)
+    _write_awkward_ports(adapters.raw_ports(spark, sf_dir), path)
     return ports.read_ports(spark, path)
 
 
+@query("src4_bad_ports", check_sql("select cast(port_index as varchar) as port_index, 'unknown' as max_vessel_length_m from ports_raw where port_index % 7 = 0"))
+def _(spark, sf_dir):
+    path = fresh_path(spark, "ports-csv")
+    _write_awkward_ports(adapters.raw_ports(spark, sf_dir), path)
+    return ports.bad_ports(spark, path).select("port_index", "max_vessel_length_m")
+
+
 @query("src5_publish_ports", _ALL_PORTS)
 def _(spark, sf_dir):
     path = fresh_path(spark, "ports")
@@ -95,11 +125,29 @@ _FLAT = check_sql(
 )
 
 
+def _land_positions(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """Good documents, and of every seventh vessel's pings a second document that is cut off."""
+    path = fresh_path(spark, "position-documents")
+    documents = _position_documents(adapters.ais_raw(spark, sf_dir))
+    (documents.repartition(files) if files else documents).write.json(path)
+    text = documents.select(F.to_json(F.struct("features")).alias("value"), F.col("features")[0]["properties"]["mmsi"].alias("mmsi"))
+    cut = text.filter("mmsi % 7 = 0").select(F.expr("left(value, length(value) - 10)").alias("value"))
+    cut.coalesce(1).write.mode("append").text(path)
+    return path
+
+
+_CUT_OFF = check_sql("select count(*) as n_broken from ais where cast(MMSI as bigint) % 7 = 0")
+
+
 @query("src6_flatten_positions", _FLAT)
 def _(spark, sf_dir):
-    path = fresh_path(spark, "position-documents")
-    _position_documents(adapters.ais_raw(spark, sf_dir)).write.json(path)
-    return ais.flatten_positions(spark.read.schema(schemas.POSITION_DOCUMENT).json(path))
+    return ais.flatten_positions(ais.read_position_documents(spark, _land_positions(spark, sf_dir), multi_line=False))
+
+
+@query("src6_broken_positions", _CUT_OFF)
+def _(spark, sf_dir):
+    documents = ais.read_position_documents(spark, _land_positions(spark, sf_dir), multi_line=False)
+    return ais.broken_positions(documents).agg(F.count("text").alias("n_broken"))
 
 
 @query("src7_append_bronze", _ALL_PINGS)
@@ -139,31 +187,41 @@ def _write_hourly(rows: DataFrame, variables: dict[str, str], path: str) -> None
         F.array_sort(F.collect_list(reading)).alias("r")
     )
     arrays = F.struct(*[F.col("r")[name].alias(name) for name in ["time", *variables]])
-    month.select("zone_name", "latitude", "longitude", arrays.alias("hourly")).write.option(
+    month.select("zone_name", "latitude", "longitude", arrays.alias("hourly")).write.mode("append").option(
         "ignoreNullFields", "false"
     ).json(path)
 
 
+def _land_polls(rows: DataFrame, variables: dict[str, str], path: str) -> None:
+    """An older poll of half of the hours with other values, then a poll of all hours."""
+    older = rows.filter(F.month("timestamp_utc") % 2 == 0)
+    _write_hourly(older.withColumns({c: F.col(c) + 1000 for c in variables.values()}), variables, path)
+    time.sleep(1.1)  # file times have whole seconds on some stores
+    _write_hourly(rows, variables, path)
+
+
 @query("src8_flatten_weather", check_sql("select * from hourly", **_HOURLY))
 def _(spark, sf_dir):
     waves, winds = fresh_path(spark, "waves"), fresh_path(spark, "winds")
     rows = _hourly(spark, sf_dir)
-    _write_hourly(rows, schemas.WAVE_VARIABLES, waves)
-    _write_hourly(rows, schemas.WIND_VARIABLES, winds)
+    _land_polls(rows, schemas.WAVE_VARIABLES, waves)
+    _land_polls(rows, schemas.WIND_VARIABLES, winds)
     return weather.flatten_weather(
         weather.read_hourly(spark, waves, schemas.WAVE_VARIABLES),
         weather.read_hourly(spark, winds, schemas.WIND_VARIABLES),
     )
 
 
-@query("src9_load_weather", check_sql("select * from hourly where zone_name <> 'zone_3'", **_HOURLY))
+@query("src9_load_weather", check_sql("select * from hourly where zone_name not in ('zone_3', 'zone_4', 'zone_5')", **_HOURLY))
 def _(spark, sf_dir):
+    """Zone 3 has a broken wave document, zone 4 a broken wind document, zone 5 none for wind."""
     waves, winds, target = (fresh_path(spark, n) for n in ("waves", "winds", "weather"))
     rows = _hourly(spark, sf_dir)
-    _write_hourly(rows, schemas.WIND_VARIABLES, winds)
+    cut = lambda zone: rows.filter(F.col("zone_name") == zone).select(F.concat(F.lit('{"zone_name": "'), "zone_name").alias("value"))
+    _write_hourly(rows.filter("zone_name not in ('zone_4', 'zone_5')"), schemas.WIND_VARIABLES, winds)
     _write_hourly(rows.filter("zone_name <> 'zone_3'"), schemas.WAVE_VARIABLES, waves)
-    broken = rows.filter("zone_name = 'zone_3'").select(F.concat(F.lit('{"zone_name": "'), "zone_name").alias("value"))
-    broken.write.mode("append").text(waves)
+    cut("zone_3").write.mode("append").text(waves)
+    cut("zone_4").write.mode("append").text(winds)
     return tables.publish(weather.load_weather(spark, waves, winds), target)
 
 
@@ -242,13 +300,21 @@ def _(spark, sf_dir):
 
 @query("str1_ingest_stream", _FLAT)
 def _(spark, sf_dir):
-    landing, target, checkpoint = (fresh_path(spark, n) for n in ("landing", "bronze", "ingest"))
-    _position_documents(adapters.ais_raw(spark, sf_dir)).repartition(4).write.json(landing)
+    landing = _land_positions(spark, sf_dir, files=4)
+    target, checkpoint = (fresh_path(spark, n) for n in ("bronze", "ingest"))
     stream = ingest_stream(spark, landing, target, checkpoint, once=True, files_per_batch=1, multi_line=False)
     stream.awaitTermination()
     return spark.read.schema(schemas.AIS).parquet(target)
 
 
+@query("str1_broken_documents", _CUT_OFF)
+def _(spark, sf_dir):
+    landing = _land_positions(spark, sf_dir, files=4)
+    target, checkpoint = (fresh_path(spark, n) for n in ("broken", "ingest"))
+    ingest_stream(spark, landing, target, checkpoint, once=True, multi_line=False, broken=True).awaitTermination()
+    return spark.read.parquet(target).agg(F.count("text").alias("n_broken"))
+
+
 @query(
     "str2_live_tick",
     check_sql(

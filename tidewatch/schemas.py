@@ -5,30 +5,69 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    schema = T.StructType()
-    for part in text.split(","):
-        name, kind = part.split()
-        schema = schema.add(name, {"str": "string", "dbl": "double", "ts": "timestamp", "int": "integer"}.get(kind, kind))
-    return schema
-
-
 # Column names and types of the three bronze tables.
-AIS = _struct(
-    "MMSI str, BaseDateTime ts, LAT dbl, LON dbl, SOG dbl, COG dbl, Heading dbl, VesselName str, IMO str,"
-    " CallSign str, VesselType int, Status int, Length dbl, Width dbl, Draft dbl, Cargo str, TransceiverClass str"
+AIS = T.StructType(
+    [
+        T.StructField("MMSI", T.StringType()),
+        T.StructField("BaseDateTime", T.TimestampType()),
+        T.StructField("LAT", T.DoubleType()),
+        T.StructField("LON", T.DoubleType()),
+        T.StructField("SOG", T.DoubleType()),
+        T.StructField("COG", T.DoubleType()),
+        T.StructField("Heading", T.DoubleType()),
+        T.StructField("VesselName", T.StringType()),
+        T.StructField("IMO", T.StringType()),
+        T.StructField("CallSign", T.StringType()),
+        T.StructField("VesselType", T.IntegerType()),
+        T.StructField("Status", T.IntegerType()),
+        T.StructField("Length", T.DoubleType()),
+        T.StructField("Width", T.DoubleType()),
+        T.StructField("Draft", T.DoubleType()),
+        T.StructField("Cargo", T.StringType()),
+        T.StructField("TransceiverClass", T.StringType()),
+    ]
 )
-PORTS = _struct(
-    "port_index int, port_name str, country str, latitude dbl, longitude dbl, harbor_size str, harbor_type str,"
-    " shelter_quality str, channel_depth_m dbl, anchorage_depth_m dbl, cargo_pier_depth_m dbl, has_dry_dock str,"
-    " has_railway str, has_provisions str, has_fuel_oil str, max_vessel_length_m int, tide_range_m dbl"
+PORTS = T.StructType(
+    [
+        T.StructField("port_index", T.IntegerType()),
+        T.StructField("port_name", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("harbor_size", T.StringType()),
+        T.StructField("harbor_type", T.StringType()),
+        T.StructField("shelter_quality", T.StringType()),
+        T.StructField("channel_depth_m", T.DoubleType()),
+        T.StructField("anchorage_depth_m", T.DoubleType()),
+        T.StructField("cargo_pier_depth_m", T.DoubleType()),
+        T.StructField("has_dry_dock", T.StringType()),
+        T.StructField("has_railway", T.StringType()),
+        T.StructField("has_provisions", T.StringType()),
+        T.StructField("has_fuel_oil", T.StringType()),
+        T.StructField("max_vessel_length_m", T.IntegerType()),
+        T.StructField("tide_range_m", T.DoubleType()),
+    ]
 )
-WEATHER = _struct(
-    "zone_name str, latitude dbl, longitude dbl, timestamp_utc ts, wave_height_m dbl, wave_direction_deg dbl,"
-    " wave_period_s dbl, wind_wave_height_m dbl, swell_wave_height_m dbl, wind_speed_10m_kmh dbl,"
-    " wind_direction_10m_deg dbl, wind_gusts_10m_kmh dbl"
+WEATHER = T.StructType(
+    [
+        T.StructField("zone_name", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("timestamp_utc", T.TimestampType()),
+        T.StructField("wave_height_m", T.DoubleType()),
+        T.StructField("wave_direction_deg", T.DoubleType()),
+        T.StructField("wave_period_s", T.DoubleType()),
+        T.StructField("wind_wave_height_m", T.DoubleType()),
+        T.StructField("swell_wave_height_m", T.DoubleType()),
+        T.StructField("wind_speed_10m_kmh", T.DoubleType()),
+        T.StructField("wind_direction_10m_deg", T.DoubleType()),
+        T.StructField("wind_gusts_10m_kmh", T.DoubleType()),
+    ]
 )
 
+#: Column that holds a landed document's text where it does not parse.
+CORRUPT = "_corrupt"
+
 # Landed position document (GeoJSON FeatureCollection).
 POSITION_DOCUMENT = T.StructType().add(
     "features",

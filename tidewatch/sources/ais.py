@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.functions import to_int
+from tidewatch.sources.files import named_files, parquet_by_schema
 
 
 def _typed(field: T.StructField) -> Column:
@@ -30,17 +33,35 @@ def bad_casts(df: DataFrame) -> DataFrame:
 
 
 def read_ais(spark: SparkSession, *paths: str) -> DataFrame:
-    """Files or directories of Parquet; in a directory, ``*.parquet`` and ``*.geoparquet``.
+    """Parquet files, or directories of which ``*.parquet`` and ``*.geoparquet`` are read.
 
-    The schema comes from the files, because exports differ in column types; only
-    the 17 known columns are read, so a geometry column is never loaded.
+    A file that is named itself is read whatever its ending. Exports differ in
+    column types: files of equal types are one scan, each scan is cast on its
+    own. Only the 17 known columns are read, so a geometry column is never loaded.
     """
-    reader = spark.read.option("pathGlobFilter", "*.{parquet,geoparquet}").option("recursiveFileLookup", "true")
-    return cast_ais(reader.parquet(*paths))
+    groups = parquet_by_schema(spark, named_files(spark, list(paths), ["*.parquet", "*.geoparquet"]))
+    scans = [cast_ais(spark.read.schema(schema).parquet(*files)) for schema, files in groups]
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], schemas.AIS)
+
+
+def read_position_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed documents; ``_corrupt`` holds the text of one that does not parse."""
+    schema = T.StructType([*schemas.POSITION_DOCUMENT.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+    return (
+        spark.read.schema(schema)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
+        .json(path)
+    )
 
 
-def read_position_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.POSITION_DOCUMENT).option("multiLine", True).json(path)
+def broken_positions(documents: DataFrame) -> DataFrame:
+    """(path, text) of the landed documents that do not parse, set apart before the append."""
+    # Spark parses a document only if a column of it is asked for besides its text.
+    parsed = F.coalesce(F.size("features"), F.lit(-1)) >= -1
+    return documents.filter(F.col(schemas.CORRUPT).isNotNull() & parsed).select(
+        F.col("_metadata.file_path").alias("path"), F.col(schemas.CORRUPT).alias("text")
+    )
 
 
 def _event_time(properties: Column) -> Column:
@@ -48,7 +69,12 @@ def _event_time(properties: Column) -> Column:
 
 
 def flatten_positions(documents: DataFrame) -> DataFrame:
-    """One bronze row per feature; what the feed does not carry is null."""
+    """One bronze row per feature; what the feed does not carry is null.
+
+    Documents that do not parse give no rows (see ``broken_positions``).
+    """
+    if schemas.CORRUPT in documents.columns:
+        documents = documents.filter(F.col(schemas.CORRUPT).isNull())
     properties = F.col("feature.properties")
     coordinates = F.col("feature.geometry.coordinates")
     # Bronze column -> where the document carries it.
