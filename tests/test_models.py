@@ -1,12 +1,13 @@
 """Features, split, metrics, boosted models and the isolation forest."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
-from tidewatch.operators import features, isolation, metrics, models
+from conftest import at, plan_of
+from tidewatch.operators import features, isolation, metrics, models, serving
 
 
 def test_profiles_fan_out_over_types(spark):
@@ -79,15 +80,21 @@ def planted(spark, n=600):
     return spark.createDataFrame(rows, "id int, a double, b double")
 
 
-@pytest.mark.parametrize("rows", [600, 40_000])
+@pytest.mark.parametrize("rows", [117, 997, 199_997])
 def test_planted_outliers_rank_first(spark, rows):
-    """The smaller table is offered to every tree, the larger one is dealt out over the trees."""
+    """One rule at every size: a tree has 256 rows, or all of a smaller table, and the norm says so."""
     df = planted(spark, rows)
     forest = isolation.iforest_fit(df, ["a", "b"], ["id"], trees=100, sample=256)
     assert forest.feature.shape[0] == 100
+    psi = min(256, rows + 3)
+    assert min(forest.samples) >= 0.9 * psi and max(forest.samples) <= psi
+    by_hand = 2 * (math.log(psi - 1) + 0.5772156649015329) - 2 * (psi - 1) / psi
+    assert isolation.path_norm(forest) == pytest.approx(by_hand, rel=1e-2)
+    if rows < 256:
+        assert set(forest.samples) == {psi} and isolation.path_norm(forest) == pytest.approx(by_hand)
     scored = isolation.iforest_score(df, ["a", "b"], forest)
     top = [r.id for r in scored.orderBy(F.desc("iso_score")).limit(8).collect()]
-    assert {rows, rows + 1, rows + 2} <= set(top)
+    assert len({rows, rows + 1, rows + 2} & set(top)) == 3
     assert scored.filter("iso_score <= 0 or iso_score > 1").count() == 0
     flagged = isolation.flag_outliers(scored, 0.01).agg(F.sum("iso_anomaly")).first()[0]
     assert 0 < flagged <= 0.01 * (rows + 3) + 1
@@ -113,6 +120,7 @@ def test_delay_experiment_learns(spark, tmp_path):
     assert run.measures["accuracy"] == 1.0 and run.measures["auc"] == 1.0
     assert run.scored.filter("delay_proba < 0 or delay_proba > 1").count() == 0
     published = models.delay_predictions(run.scored)
+    assert serving.delayed_vessels(published).count() == min(20, published.filter("delay_proba > 0.5").count())
     assert len(published.columns) == 14 and published.count() == 60
     weights = models.feature_importance(spark, run.model, features.DELAY_FEATURES).collect()
     assert sum(w.importance for w in weights) == pytest.approx(1.0) and len(weights) == 9
@@ -141,3 +149,31 @@ def test_small_inputs_are_skipped(spark):
     assert all(e.skipped for e in skipped)
     rows = models.model_summary(spark, *skipped).collect()
     assert [r.status for r in rows] == ["skipped"] * 3
+
+
+def test_predictions_keep_nulls_that_the_model_fills(spark):
+    calls, fact = call_tables(spark)
+    unknown = fact.withColumn("vessel_type_code", F.when(F.col("vessel_key") == "3", None).otherwise(F.col("vessel_type_code")))
+    published = models.delay_predictions(models.delay_experiment(calls, unknown, maxIter=2).scored)
+    assert published.filter("vessel_type_code is null").count() == calls.filter("vessel_key = '3'").count() > 0
+    assert published.filter("vessel_type_code = 0").count() == 0 and not [c for c in published.columns if c.startswith("ready_")]
+
+
+def test_a_skipped_model_reports_how_many_rows_it_had(spark):
+    calls, fact = call_tables(spark, n=4)
+    run = models.delay_experiment(calls, fact)
+    assert run.skipped.startswith("4 rows") and models.model_summary(spark, run).first().reason == run.skipped
+
+
+@pytest.mark.parametrize("label", ["y", None])
+def test_split_joins_no_rows_by_shuffle_on_the_label(spark, label):
+    df = spark.createDataFrame([(i, i % 2) for i in range(400)], "i int, y int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = features.split(df, ["i"], label)
+        plan = plan_of(parts)
+        assert parts.filter("is_test").count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "NestedLoop" not in plan and "SortMergeJoin" not in plan

@@ -167,3 +167,10 @@ def test_records(spark):
     df = spark.createDataFrame([("1", None, at(1.5))], "k string, v double, t timestamp")
     value = tables.to_records(df, {"k": "mmsi", "v": "lat", "t": "ts"}).first().value
     assert json.loads(value) == {"mmsi": "1", "lat": None, "ts": "2024-01-01 01:30:00"}
+    half = df.withColumn("t", F.col("t") + F.expr("interval 120 milliseconds"))
+    nested = {"k": "mmsi", "place": {"v": "lat", "t": "ts"}, "none": {"v": "lat"}}
+    assert json.loads(tables.to_records(half, nested).first().value) == {
+        "mmsi": "1",
+        "place": {"lat": None, "ts": "2024-01-01 01:30:00.120000"},
+        "none": None,
+    }

@@ -54,7 +54,7 @@ def test_live_tick_equals_batch(spark, tmp_path):
     vessels = dimensions.dim_vessels(pings)
     stream = spark.readStream.schema(pings.schema).option("maxFilesPerTrigger", 1).parquet(source)
     target = str(tmp_path / "ticks")
-    live_tick_stream(stream, vessels, fact.limit(4), target, str(tmp_path / "cp"), once=True, n=5).awaitTermination()
+    live_tick_stream(stream, lambda: vessels, lambda: fact.limit(4), target, str(tmp_path / "cp"), once=True, n=5).awaitTermination()
     ticks = spark.read.parquet(target)
     assert ticks.select("tick").distinct().count() == 3
     last = ticks.filter(F.col("tick") == ticks.agg(F.max("tick")).scalar())
@@ -63,3 +63,19 @@ def test_live_tick_equals_batch(spark, tmp_path):
     assert sorted(map(str, last.select(columns).collect())) == sorted(map(str, batch.select(columns).collect()))
     assert {(r.total_vessels, r.anomaly_count) for r in last.collect()} == {(7, 4)}
     assert last.filter("emitted_at is null").count() == 0
+
+
+def test_totals_follow_tables_that_grow(spark, tmp_path):
+    pings = positions.stage_positions(raw(spark, [("a", 0, 1.0, 2.0), ("b", 1, 3.0, 4.0)]))
+    source, kept, target = (str(tmp_path / n) for n in ("pings", "vessels", "ticks"))
+    vessels = dimensions.dim_vessels(pings)
+    args = [target, str(tmp_path / "cp")]
+    for grown in (1, 3):
+        for _ in range(grown):
+            vessels.write.mode("append").parquet(kept)
+        pings.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(pings.schema).parquet(source)
+        again = lambda: spark.read.parquet(kept)
+        live_tick_stream(stream, again, again, *args, once=True).awaitTermination()
+    totals = {r.tick: r.total_vessels for r in spark.read.parquet(target).select("tick", "total_vessels").distinct().collect()}
+    assert sorted(totals.values()) == [2, 8]

@@ -92,7 +92,7 @@ def dim_time(spark: SparkSession, start: str = CALENDAR_START, hours: int = CALE
         F.year(ts).cast("long").alias("year"),
         F.when(weekday.isin(0, 6), 1).otherwise(0).alias("is_weekend"),
         season(F.month(ts)).alias("season"),
-        F.when(F.month(ts).between(3, 8), 0).otherwise(1).alias("is_peak_trade_season"),
+        F.when(F.month(ts).isin(9, 10, 11, 12, 1, 2), 1).otherwise(0).alias("is_peak_trade_season"),
         watch_period(F.hour(ts)).alias("watch_period"),
     )
 

@@ -140,7 +140,8 @@ def split(df: DataFrame, key: list[str], label: str | None = None, test_size: fl
     label in one task: hashes are counted by prefix (65,536 prefixes at most),
     the prefix in which the cut falls is found from the running count, all other
     prefixes are wholly test or wholly train, and only the rows of that one
-    prefix are ranked.
+    prefix are ranked. The cuts are one row per label, so they are broadcast; a
+    label has few values.
     """
     group = F.lit("all") if label is None else F.coalesce(F.col(label).cast("string"), F.lit(""))
     work = df.withColumn("_group", group).withColumn("_hash", F.md5(_key_text(df, key)))
@@ -157,7 +158,10 @@ def split(df: DataFrame, key: list[str], label: str | None = None, test_size: fl
         .filter((F.col("_take") > 0) & (F.col("_take") <= F.col("_n")))
         .drop("_n")
     )
-    placed = work.join(cuts, "_group", "left")
+    if label is None:
+        placed = work.withColumns({"_cut": cuts.select("_cut").scalar(), "_take": cuts.select("_take").scalar()})
+    else:
+        placed = work.join(F.broadcast(cuts), "_group", "left")
     decided = placed.filter(~F.col("_prefix").eqNullSafe(F.col("_cut"))).withColumn(
         "is_test", F.coalesce(F.col("_prefix") < F.col("_cut"), F.lit(False))
     )

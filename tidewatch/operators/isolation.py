@@ -20,7 +20,9 @@ from tidewatch.session import ship_package
 
 TREES = 200
 SAMPLE = 256
-_NODES = "tree int, feature array<int>, cut array<double>, depth array<double>"
+_NODES = "tree int, feature array<int>, cut array<double>, depth array<double>, sample int"
+#: Rows that all trees draw from, as a multiple of one tree's sample.
+_POOL = 64
 
 
 def _expected_path(n: float) -> float:
@@ -36,23 +38,30 @@ class Forest:
 
     A branch that ends early is continued by cuts every row passes on the left,
     so scoring takes the same number of steps for all rows. ``depth`` holds the
-    path length of each place on the last level.
+    path length of each place on the last level, ``samples`` the rows that each
+    tree was grown from.
     """
 
     feature: np.ndarray
     cut: np.ndarray
     depth: np.ndarray
+    samples: np.ndarray
     levels: int
-    sample: int
+
+
+def _levels(rows: int) -> int:
+    return max(1, int(np.ceil(np.log2(max(rows, 2)))))
 
 
 def _grow(values: np.ndarray, rng: np.random.Generator, levels: int) -> tuple[list, list, list]:
+    """A tree of ``levels`` levels in all; its own cuts end where its rows' number says."""
+    deepest = _levels(len(values))
     inner = 2**levels - 1
     feature, cut, depth = [0] * inner, [np.inf] * inner, [0.0] * (inner + 1)
 
     def place(node: int, rows: np.ndarray, level: int) -> None:
         spread = np.flatnonzero(rows.min(axis=0) < rows.max(axis=0)) if len(rows) > 1 else []
-        if level == levels or len(spread) == 0:
+        if level == deepest or len(spread) == 0:
             for _ in range(level, levels):
                 node = 2 * node + 1
             depth[node - inner] = level + _expected_path(len(rows))
@@ -69,39 +78,46 @@ def _grow(values: np.ndarray, rng: np.random.Generator, levels: int) -> tuple[li
 
 
 def tagged_sample(df: DataFrame, columns: list[str], key: list[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """Rows with the tree they belong to, about a third more than ``sample`` per tree.
+    """Rows with the tree they belong to, about a third more than ``sample`` per tree where there are so many.
 
-    Membership follows from a hash of the key. When the table is larger than all
-    samples together a row serves at most one tree; a smaller table (at most
-    ``trees * sample`` rows) is offered to every tree.
+    One rule at every size: a pool of about 64 samples is drawn by a hash of the
+    key, the whole table if it has no more, and every row of the pool is offered
+    to every tree, which takes it by a hash of its own. A tree never has a row
+    twice; the pool bounds what is offered.
     """
+    steps = 1 << 30
     n = df.count()
-    share = min(1.0, 1.33 * sample / max(n, 1))
+    pool = min(1.0, _POOL * sample / max(n, 1))
+    share = min(1.0, 1.33 * sample / max(n * pool, 1))
     keyed = df.select(*columns, F.xxhash64(F.lit(seed), *key).alias("_h"))
-    steps = 1 << 30
-    if share * trees < 1.0:
-        drawn = F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(steps)) < int(share * trees * steps)
-        return keyed.filter(drawn).withColumn("tree", F.pmod(F.xxhash64("_h", F.lit(2)), F.lit(trees)).cast("int"))
-    offered = keyed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    return offered.filter(F.pmod(F.xxhash64("_h", "tree"), F.lit(steps)) < int(share * steps))
+    drawn = keyed.filter(F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(steps)) < int(pool * steps))
+    offered = drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    own = F.xxhash64("_h", "tree")
+    return offered.withColumn("_own", own).filter(F.pmod("_own", F.lit(steps)) < int(share * steps))
 
 
 def iforest_fit(
     df: DataFrame, columns: list[str], key: list[str], trees: int = TREES, sample: int = SAMPLE, seed: int = 42
 ) -> Forest:
+    """A forest whose trees are grown from ``sample`` rows each, or from all rows if there are fewer."""
     ship_package(df.sparkSession)
     tagged = tagged_sample(df, columns, key, trees, sample, seed)
-    levels = int(np.ceil(np.log2(sample)))
+    levels = _levels(sample)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        rows = pdf.sort_values("_h").head(sample)[columns].to_numpy(dtype=float)
+        rows = pdf.sort_values("_own").head(sample)[columns].to_numpy(dtype=float)
         feature, cut, depth = _grow(rows, np.random.default_rng([seed, tree]), levels)
-        return pd.DataFrame([{"tree": tree, "feature": feature, "cut": cut, "depth": depth}])
+        return pd.DataFrame([{"tree": tree, "feature": feature, "cut": cut, "depth": depth, "sample": len(rows)}])
 
     built = tagged.groupBy("tree").applyInPandas(build, _NODES).orderBy("tree").toPandas()
     stacked = [np.stack([np.asarray(v) for v in built[part]]) for part in ("feature", "cut", "depth")]
-    return Forest(*stacked, levels, sample)
+    return Forest(*stacked, built["sample"].to_numpy(), levels)
+
+
+def path_norm(forest: Forest) -> float:
+    """Mean path length that the trees' samples would lead one to expect."""
+    return float(np.mean([_expected_path(n) for n in forest.samples]))
 
 
 def iforest_score(df: DataFrame, columns: list[str], forest: Forest, out: str = "iso_score") -> DataFrame:
@@ -112,7 +128,7 @@ def iforest_score(df: DataFrame, columns: list[str], forest: Forest, out: str =
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         f = shared.value
-        norm = _expected_path(f.sample)
+        norm = path_norm(f)
         inner = f.feature.shape[1]
         for batch in batches:
             n = len(batch)

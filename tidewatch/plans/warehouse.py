@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidewatch.operators import anomalies, dimensions, history, port_calls, ports, positions, weather
-from tidewatch.session import fresh_path
+from tidewatch.session import shared_dir
 from tidewatch.sources.tables import publish, register
 
 LAYERS = {
@@ -57,6 +59,12 @@ class Warehouse:
     ``table(name)`` writes a model and what it needs below ``root`` once, then
     reads it back, so that later models start from stored rows instead of
     recomputing (and losing, with an executor) a long lineage.
+
+    Every build writes to paths of its own, ``<table>/build=<time>-<id>``. A
+    table is complete once its success marker is there; readers and the next
+    build take the newest complete one, so a table is never seen half written.
+    The vessel history goes on from the build before. ``drop_old`` removes what
+    no reader needs any more.
     """
 
     def __init__(
@@ -66,12 +74,15 @@ class Warehouse:
         raw_ports: DataFrame,
         raw_weather: DataFrame,
         root: str | None = None,
+        as_of: Column | None = None,
     ) -> None:
         self.spark = spark
         self.raw_positions = raw_positions
         self.raw_ports = raw_ports
         self.raw_weather = raw_weather
-        self.root = root or fresh_path(spark, "warehouse")
+        self.root = (root or f"{shared_dir(spark)}/warehouse").rstrip("/")
+        self.as_of = as_of
+        self.build_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         self._built: dict[str, DataFrame] = {}
 
     def _model(self, name: str) -> DataFrame:
@@ -89,17 +100,47 @@ class Warehouse:
             "dim_ports": lambda: ports.dim_ports(t("stg_ports")),
             "dim_time": lambda: dimensions.dim_time(self.spark),
             "dim_weather_zones": lambda: dimensions.dim_weather_zones(self.spark),
-            "dim_vessels_scd2": lambda: history.first_snapshot(history.scd2_source(self.raw_positions)),
+            "dim_vessels_scd2": self._vessel_history,
             "obt_vessel_tracking": lambda: dimensions.obt_vessel_tracking(
                 t("fct_vessel_positions"), t("dim_vessels"), t("dim_time")
             ),
         }
         return models[name]()
 
-    def path(self, name: str) -> str:
+    def _vessel_history(self) -> DataFrame:
+        """The history of the build before and one more snapshot."""
+        source = history.scd2_source(self.raw_positions)
+        before = self.latest("dim_vessels_scd2")
+        if before is None:
+            return history.first_snapshot(source, as_of=self.as_of)
+        return history.scd2_merge(self.spark.read.parquet(before), source, as_of=self.as_of)
+
+    def _folder(self, name: str) -> str:
         layer = next(layer for layer, names in LAYERS.items() if name in names)
         return f"{self.root}/{layer}/{name}"
 
+    def path(self, name: str) -> str:
+        """Where this build writes a table."""
+        return f"{self._folder(name)}/build={self.build_id}"
+
+    def _builds(self, name: str) -> list[str]:
+        """Complete builds of a table, oldest first."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._folder(name)}/build=*/_SUCCESS")
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(f.getPath().getParent().toString() for f in system.globStatus(path) or [])
+
+    def latest(self, name: str) -> str | None:
+        """Path of the newest complete build of a table."""
+        return (self._builds(name) or [None])[-1]
+
+    def drop_old(self, keep: int = 2) -> None:
+        """Remove all but the newest ``keep`` builds of every table."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in (n for names in LAYERS.values() for n in names):
+            for old in self._builds(name)[:-keep]:
+                hadoop.Path(old).getFileSystem(conf).delete(hadoop.Path(old), True)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._built:
             df = self._model(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +42,7 @@ def register(
     columns = T.StructType([*df.schema.fields, *day])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     layout = f"partitioned by (`{day[0].name}`)" if day else ""
-    spark.sql(f"create database if not exists {database} location '{path.rsplit('/', 1)[0]}'")
+    spark.sql(f"create database if not exists {database}")
     spark.sql(f"drop table if exists {database}.{name}")
     spark.sql(f"create table {database}.{name} ({ddl}) using parquet {layout} location '{path}'")
     if day:
@@ -90,13 +90,28 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
-def to_records(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rows as JSON text under new keys; times become text."""
+def time_text(column: Column) -> Column:
+    """A time as text with six digits of a second, or none where it is whole."""
+    whole = F.date_format(column, "SSSSSS") == "000000"
+    return F.when(whole, F.date_format(column, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
-    def field(old: str, new: str):
-        kind = df.schema[old].dataType
-        column = F.col(old)
-        return (column.cast("string") if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else column).alias(new)
 
-    record = F.struct(*[field(old, new) for old, new in names.items()])
-    return df.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
+def to_records(df: DataFrame, names: dict[str, str | dict[str, str]]) -> DataFrame:
+    """Rows as JSON text under new keys; times become text.
+
+    ``names`` maps a column to its key. A key that maps to another such table
+    holds a record of its own, null where all of its columns are.
+    """
+
+    def field(old: str) -> Column:
+        timed = isinstance(df.schema[old].dataType, (T.TimestampType, T.TimestampNTZType))
+        return time_text(F.col(old)) if timed else F.col(old)
+
+    def record(table: dict) -> Column:
+        return F.struct(*[nested(k, v) if isinstance(v, dict) else field(k).alias(v) for k, v in table.items()])
+
+    def nested(key: str, table: dict[str, str]) -> Column:
+        some = F.coalesce(*[F.when(F.col(old).isNotNull(), 1) for old in table])
+        return F.when(some.isNotNull(), record(table)).alias(key)
+
+    return df.select(F.to_json(record(names), {"ignoreNullFields": "false"}).alias("value"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,8 +30,8 @@ def tick(latest: DataFrame, vessels: DataFrame, anomalies: DataFrame, n: int = 1
 
 def live_tick_stream(
     positions: DataFrame,
-    vessels: DataFrame,
-    anomalies: DataFrame,
+    vessels: Callable[[], DataFrame],
+    anomalies: Callable[[], DataFrame],
     target: str,
     checkpoint: str,
     *,
@@ -40,12 +42,15 @@ def live_tick_stream(
     """Start writing ticks below ``target`` as ``tick=<batch>`` folders.
 
     ``positions`` is a stream of cleaned pings. The state is one row per vessel.
+    ``vessels`` and ``anomalies`` are called at every tick and read their tables
+    anew, so names and totals follow tables that grow; the totals are counts of
+    stored rows, which Parquet keeps in its footers.
     A batch that is run again replaces its own folder, so a tick is never doubled.
     """
     latest = latest_per_vessel(positions.withColumnRenamed("mmsi", "vessel_key"))
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        tick(batch, vessels, anomalies, n).write.mode("overwrite").parquet(f"{target}/tick={batch_id}")
+        tick(batch, vessels(), anomalies(), n).write.mode("overwrite").parquet(f"{target}/tick={batch_id}")
 
     writer = latest.writeStream.outputMode("complete").foreachBatch(emit).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": f"{seconds} seconds"}
