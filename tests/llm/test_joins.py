@@ -219,7 +219,7 @@ def test_line_dedup_by_brute_force(spark):
     table = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(table).collect()}
     normal = {raw.lower().strip(" \t\r") for _, t in docs for raw in t.split("\n")} - {""}
-    words = spark.createDataFrame([(n,) for n in sorted(normal)], "key string").select("key", F.explode(F.split("key", " ")).alias("word"))
+    words = spark.createDataFrame([(n,) for n in sorted(normal)], "key string").select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word"))
     hashes = {r.key: r.simhash for r in line_dedup.simhashes(words).collect()}
     hub = {}
     first = {}
