@@ -350,7 +350,8 @@ def _(spark, sf_dir):
 def _python_time(column: str) -> str:
     """A time as Python writes it."""
     return (
-        f"strftime({column}, case when epoch_us({column}) % 1000000 = 0 then '%Y-%m-%d %H:%M:%S' else '%Y-%m-%d %H:%M:%S.%f' end)"
+        f"case when epoch_us({column}) % 1000000 = 0 then strftime({column}, '%Y-%m-%d %H:%M:%S')"
+        f" else strftime({column}, '%Y-%m-%d %H:%M:%S.%f') end"
     )
 
 
