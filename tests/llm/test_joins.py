@@ -134,13 +134,13 @@ def test_near_duplicates_by_brute_force(spark):
         assert (r.class_id, r.n_links, r.keeper) == (label[r.doc_id], links[r.doc_id], label[r.doc_id] == r.doc_id)
 
 
-@pytest.mark.parametrize("block", [8, 512])
-def test_a_large_group_in_blocks_has_all_its_links(spark, block):
+@pytest.mark.parametrize("block, limit", [(8, 0), (512, 10**6)])
+def test_a_large_group_in_blocks_has_all_its_links(spark, block, limit):
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1 :]) for i in range(40)] + [" ".join(words)] * 5
     docs = {i: t for i, t in enumerate(texts)}
     pairs = near_pairs({i: grams(t) for i, t in docs.items()})
-    got = jaccard_join.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), block=block).collect()
+    got = jaccard_join.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), block=block, broadcast_rows=limit).collect()
     links = defaultdict(int)
     for a, b in pairs:
         links[a] += 1

@@ -154,6 +154,7 @@ def near_duplicates(
     threshold: float = 0.8,
     recall: float = 0.9999,
     block: int = 512,
+    broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per document row: document, row_key, class_id, keeper, n_links, n_text_links.
 
@@ -174,7 +175,8 @@ def near_duplicates(
     alone tell which sets have a pair in a group, then those sets travel, all
     overlaps in a group are counted with one matrix product, and a group gives
     one row per set: its links, and the root of its linked group. Pairs are
-    never listed.
+    never listed. The keys of the documents whose sets travel are broadcast if
+    there are at most ``broadcast_rows``; beyond it texts are shuffled to them.
     """
     spark = documents.sparkSession
     prepare(spark)
@@ -251,8 +253,11 @@ def near_duplicates(
     busy = stored(light.mapInPandas(select, "band int, value long, one int, two int, block int, digest binary"), "busy-sets")
 
     needed = busy.select("digest").distinct().join(sets.select("digest", "least.row_key"), "digest")
+    needed = stored(needed, "needed-sets")
+    if needed.count() <= broadcast_rows:
+        needed = F.broadcast(needed)
     full = (
-        keyed.join(stored(needed, "needed-sets"), "row_key")
+        keyed.join(needed, "row_key")
         .select("digest", gram_set(F.col("text")).alias("grams"))
         .dropDuplicates(["digest"])
     )
