@@ -165,7 +165,10 @@ def port_congestion(calls: DataFrame, ports: DataFrame, port_key: int | None = N
         calls, ports = calls.filter(F.col("port_key") == port_key), ports.filter(F.col("port_key") == port_key)
     record = calls.groupBy("port_key").agg(
         F.count(F.lit(1)).alias("total_calls"),
-        parity_round(F.avg("duration_hours"), 1).alias("avg_stay_hours"),
+        # Stays have two decimals: their sum in hundredths does not depend on the order of addition.
+        parity_round(F.sum(F.round(F.col("duration_hours") * 100).cast("long")) / F.count("duration_hours") / F.lit(100.0), 1).alias(
+            "avg_stay_hours"
+        ),
         F.sum("is_extended_stay").alias("extended_stays"),
     )
     kept = ports.select("port_key", "port_name", "country", "harbor_size", "channel_depth_m", "capacity_tier")

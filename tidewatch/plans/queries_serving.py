@@ -155,7 +155,7 @@ def _(spark, sf_dir):
 
 
 _CONGESTION = """select port_key, port_name, country, harbor_size, channel_depth_m, capacity_tier,
- count(arrival_ts) as total_calls, round(avg(duration_hours), 1) as avg_stay_hours,
+ count(arrival_ts) as total_calls, round(sum(cast(round(duration_hours * 100) as bigint)) / count(duration_hours) / 100e0, 1) as avg_stay_hours,
  cast(sum(is_extended_stay) as bigint) as extended_stays from dp left join fpc using (port_key) {where} group by all"""
 
 
