@@ -46,13 +46,13 @@ def test_suite_reports_each_check(spark):
         "child": spark.createDataFrame([(1, 5.0), (None, -1.0), (9, 2.0), (9, 2.0)], "k int, v double"),
         "parent": spark.createDataFrame([(1,), (1,), (2,)], "k int"),
     }
-    suite = quality._suite(
-        """
-        child.k: not_null; -> parent.k
-        child.v: 0 to any
-        parent.k: unique; not_null
-        """
-    )
+    suite = [
+        quality.Check("child", "k", "not_null"),
+        quality.Check("child", "k", "relationships", parent="parent", parent_column="k"),
+        quality.Check("child", "v", "accepted_range", lo=0),
+        quality.Check("parent", "k", "unique"),
+        quality.Check("parent", "k", "not_null"),
+    ]
     got = {(r.table_name, r.column_name, r.check_name): (r.failures, r.status) for r in quality.run_checks(tables, suite).collect()}
     assert got == {
         ("child", "k", "not_null"): (1, "fail"),
