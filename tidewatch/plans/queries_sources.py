@@ -16,7 +16,7 @@ from tidewatch import schemas
 from tidewatch.operators import positions
 from tidewatch.plans import adapters
 from tidewatch.plans.oracles import check_sql
-from tidewatch.plans.queries_serving import _LATEST
+from tidewatch.plans.queries_serving import _LATEST, _TABLE_STEPS, _scd2_source_sql
 from tidewatch.plans.registry import query, warehouse
 from tidewatch.session import fresh_path
 from tidewatch.sources import ais, ports, tables, weather
@@ -260,7 +260,53 @@ def _(spark, sf_dir):
     return counted.join(F.broadcast(hour_range(spark)), "time_key")
 
 
-@query("src12_schema_catalog")
+# The gold tables as they are published, columns in order.
+_GOLD_COLUMNS = {
+    "dim_ports": "port_key (int), port_name (string), country (string), latitude (double), longitude (double),"
+    " harbor_size (string), harbor_type (string), shelter_quality (string), channel_depth_m (double),"
+    " anchorage_depth_m (double), cargo_pier_depth_m (double), has_dry_dock (string), has_railway (string),"
+    " has_provisions (string), has_fuel_oil (string), max_vessel_length_m (int), tide_range_m (double),"
+    " harbor_size_rank (int), capacity_tier (string)",
+    "dim_time": "time_key (timestamp), date_key (date), hour (bigint), day_of_week (bigint), day_of_month (bigint),"
+    " month (bigint), quarter (bigint), year (bigint), is_weekend (int), season (string),"
+    " is_peak_trade_season (int), watch_period (string)",
+    "dim_vessels": "vessel_key (string), imo (string), vessel_name (string), vessel_type_code (int),"
+    " vessel_type_desc (string), call_sign (string), length_m (double), width_m (double), draft_m (double),"
+    " cargo_code (string), transceiver_class (string), total_pings (bigint), first_seen (timestamp), last_seen (timestamp)",
+    "dim_vessels_scd2": "mmsi (string), imo (string), vessel_name (string), vessel_type_code (int), call_sign (string),"
+    " length_m (double), width_m (double), draft_m (double), version_id (string), updated_at (timestamp),"
+    " valid_from (timestamp), valid_to (timestamp)",
+    "dim_weather_zones": "zone_key (int), zone_code (string), zone_name (string), center_lat (double),"
+    " center_lon (double), radius_nm (int)",
+    "fct_ais_anomalies": "vessel_key (string), anomaly_ts (timestamp), last_known_lat (double), last_known_lon (double),"
+    " last_known_sog (double), time_key (timestamp), time_gap_minutes (double), distance_gap_nm (double),"
+    " implied_speed_kts (double), anomaly_type (string), risk_score (double)",
+    "fct_port_calls": "vessel_key (string), port_key (int), arrival_ts (timestamp), departure_ts (timestamp),"
+    " duration_hours (double), time_key (timestamp), arrival_lat (double), arrival_lon (double),"
+    " is_extended_stay (int), stay_category (string)",
+    "fct_vessel_positions": "vessel_key (string), position_ts (timestamp), latitude (double), longitude (double),"
+    " sog (double), cog (double), heading (double), nav_status (int), vessel_type_code (int), time_key (timestamp),"
+    " distance_nm (double), time_gap_minutes (double), position_ts_day (date)",
+    "obt_vessel_tracking": "vessel_key (string), position_ts (timestamp), latitude (double), longitude (double),"
+    " sog (double), cog (double), heading (double), nav_status (int), distance_nm (double), time_gap_minutes (double),"
+    " vessel_name (string), imo (string), vessel_type_desc (string), length_m (double), width_m (double),"
+    " draft_m (double), call_sign (string), date_key (date), hour (bigint), day_of_week (bigint), month (bigint),"
+    " quarter (bigint), year (bigint), season (string), is_peak_trade_season (int), watch_period (string),"
+    " position_ts_day (date)",
+}
+
+
+@query(
+    "src12_schema_catalog",
+    check_sql(
+        " union all ".join(
+            f"select '{name}' as table_name, cast({columns.count('(')} as bigint) as n_columns, '- gold.{name}: {columns}' as line,"
+            f" (select count(*) from {_TABLE_STEPS[name]}) as n_rows"
+            for name, columns in _GOLD_COLUMNS.items()
+        ),
+        scd2_src=_scd2_source_sql(),
+    ),
+)
 def _(spark, sf_dir):
     w = warehouse(spark, sf_dir)
     w.register_gold("gold")
