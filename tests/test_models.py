@@ -74,6 +74,13 @@ def test_median_and_regression(spark):
     assert row.r2 == pytest.approx(1 - 2 / 38) and row.mape == pytest.approx((1 + 0 + 1 / 9) / 3 * 100)
 
 
+def test_auc_of_scores_that_pile_up(spark):
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 1), 1 - rng.random() * 10 ** -rng.randint(0, 12)) for _ in range(300)] + [(1, 1.0), (0, 1.0), (0, 0.0)]
+    got = metrics.roc_auc(spark.createDataFrame(rows, "y int, s double"), "y", "s").first().auc
+    assert got == pytest.approx(brute_auc(rows), abs=1e-12)
+
+
 def planted(spark, n=600):
     rng = random.Random(5)
     rows = [(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(n)] + [(n + i, 9.0 + i, -9.0) for i in range(3)]
