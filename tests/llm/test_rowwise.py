@@ -138,7 +138,19 @@ def test_main_text():
     ]
 
 
-@pytest.mark.parametrize("page, want", [(None, ""), ("", ""), ("plain text", "plain text"), ("<p>a<br>b</p>", "a b"), ("<p", ""), ("<!-- x", ""), ("<script>x", "")])
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain text", "plain text"),
+        ("<p>a<br>b</p>", "a b"),
+        ("<p", ""),
+        ("<!-- x", ""),
+        ("<script>x", ""),
+        ('<div class="post with-sidebar"><p>a, b</p><p class="ad">c</p></div>', "a, b"),
+    ],
+)
 def test_broken_pages(page, want):
     assert html_text.main_text(page) == want
 

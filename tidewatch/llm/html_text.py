@@ -42,6 +42,8 @@ UNWANTED = frozenset(
     " gdpr popup modal overlay alert newsletter subscribe subscription signup login share sharing social comment comments"
     " disqus respond reply replies discussion pagination pager toolbar search widget copyright complementary contentinfo form".split()
 )
+#: Names that tell how a container is laid out, not what it is.
+_LAYOUT = ("has-", "with-", "no-", "is-", "show-", "hide-")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -69,7 +71,8 @@ def _unwanted(name: str, attrs: str) -> bool:
         return True
     if not attrs or name in ("html", "body", "article", "main"):
         return bool(attrs) and name not in ("html", "body") and bool(_HIDDEN.search(attrs))
-    words = {w.lower() for m in _WHO.finditer(attrs) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
+    names = [n for m in _WHO.finditer(attrs) for n in (m[1] or m[2] or m[3] or "").split() if not n.lower().startswith(_LAYOUT)]
+    words = {w.lower() for n in names for w in _WORDS.findall(n)}
     return bool(words & UNWANTED) or bool(_HIDDEN.search(attrs))
 
 
