@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import at
@@ -25,7 +26,10 @@ def test_bulk_files_of_both_kinds_without_geometry(spark, tmp_path):
     assert df.columns == schemas.AIS.names and df.count() == one
     assert ais.read_ais(spark, str(tmp_path / "x"), str(tmp_path / "more")).count() == day.count() + one
     assert ais.read_ais(spark, str(tmp_path / "more" / "deeper" / "*")).count() == one
+    (tmp_path / "none").mkdir()
     assert ais.read_ais(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        ais.read_ais(spark, str(tmp_path / "missing"))
 
 
 def test_a_named_file_is_read_whatever_its_ending(spark, tmp_path):
@@ -91,6 +95,7 @@ def test_ports_csv_by_header_name(spark, tmp_path):
     assert (rows[2].latitude, rows[2].longitude, rows[2].country, rows[2].tide_range_m) == (11.5, -71.5, None, None)
     assert [(r.port_name, r.tide_range_m) for r in ports.bad_ports(spark, str(tmp_path)).collect()] == [("Second", "high")]
     assert ports.read_ports(spark, str(tmp_path / "a.csv"), infer=True).schema["latitude"].dataType.typeName() == "double"
+    (tmp_path / "none").mkdir()
     assert ports.read_ports(spark, str(tmp_path / "none")).count() == 0
 
 

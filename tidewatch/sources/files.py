@@ -14,7 +14,7 @@ def named_files(spark: SparkSession, paths: list[str], patterns: list[str]) -> l
     """Every named file, and the files directly in a named directory whose names match a pattern.
 
     Sub-folders are not searched; hidden files and markers are left out of a
-    directory. Sorted and without repeats.
+    directory. Sorted and without repeats. A path that names nothing is an error.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -22,7 +22,10 @@ def named_files(spark: SparkSession, paths: list[str], patterns: list[str]) -> l
     for text in paths:
         path = hadoop.Path(text)
         system = path.getFileSystem(conf)
-        for status in system.globStatus(path) or []:
+        named = system.globStatus(path)
+        if not named:
+            raise FileNotFoundError(text)
+        for status in named:
             if status.isFile():
                 found.add(status.getPath().toString())
                 continue
