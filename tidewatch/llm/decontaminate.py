@@ -160,5 +160,5 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents whose texts are not contaminated, columns and order of columns as before."""
     found = find_contamination(documents, benchmark, keep=(), text=text)
-    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("text_key").alias("_bad")).distinct()
-    return documents.join(stored(bad, "bad-texts"), text_key(F.col(text)) == F.col("_bad"), "left_anti")
+    bad = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("text_key").alias("_tw_bad")).distinct()
+    return documents.join(stored(bad, "bad-texts"), text_key(F.col(text)) == F.col("_tw_bad"), "left_anti")

@@ -338,6 +338,6 @@ def near_duplicates(
 def one_per_class(documents: DataFrame, document: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, columns as before; rows equal in id and text count as one."""
     found = near_duplicates(documents, document, text)
-    keepers = stored(found.where("keeper").select(F.col("row_key").alias("_key")).distinct(), "keepers")
-    keyed = documents.withColumn("_row_key", row_key(F.col(document), F.col(text)))
-    return keyed.join(keepers, F.col("_row_key") == F.col("_key")).dropDuplicates(["_row_key"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    keepers = stored(found.where("keeper").select(F.col("row_key").alias("_tw_key")).distinct(), "keepers")
+    keyed = documents.withColumn("_tw_row_key", row_key(F.col(document), F.col(text)))
+    return keyed.join(keepers, F.col("_tw_row_key") == F.col("_tw_key")).dropDuplicates(["_tw_row_key"]).select(*[F.col(f"`{c}`") for c in documents.columns])
