@@ -69,7 +69,7 @@ def fit_toxicity(
     labels: DataFrame,
     keep: Column,
     label: str = "toxic",
-    fit_rows: int = 12_000,
+    fit_rows: int = 6_000,
     bits: int = 20,
     shortest: int = 3,
     longest: int = 6,
