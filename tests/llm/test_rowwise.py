@@ -155,6 +155,22 @@ def test_broken_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+ARTICLE = "<p>" + "A long article, with words, commas, and more of both, again and again. " * 5 + "</p>"
+
+
+@pytest.mark.parametrize("wrapper", ['class="content-sidebar-wrap"', 'id="main-header-fixed"', 'class="search-view"', 'class="sidebar"', 'id="form"'])
+@pytest.mark.parametrize("beside", ["", '<div><p>A teaser, short.</p></div>'])
+def test_a_wrapper_with_an_unwanted_word_does_not_lose_the_article(wrapper, beside):
+    got = html_text.main_text(f"<html><body>{beside}<div {wrapper}>{ARTICLE * 3}</div></body></html>")
+    whole = beside and wrapper in ('class="sidebar"', 'id="form"')
+    assert got.count("A long article") == (0 if whole else 15)
+
+
+def test_comments_longer_than_the_article_stay_out():
+    page = f'<body><div class="post"><p>Short text, of the article, here.</p></div><div id="comments">{ARTICLE * 20}</div></body>'
+    assert html_text.main_text(page) == "Short text, of the article, here."
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 5000 + "<p>deep text, here</p>") == "deep text, here"
     assert len(html_text.main_text("<article>" + "<p>some words, more words</p>" * 20000 + "</article>").split("\n\n")) == 20000

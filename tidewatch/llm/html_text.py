@@ -44,6 +44,12 @@ UNWANTED = frozenset(
 )
 #: Names that tell how a container is laid out, not what it is.
 _LAYOUT = ("has-", "with-", "no-", "is-", "show-", "hide-")
+#: Words in a class or id that say an element holds the article, whatever else it says.
+_CONTENT = frozenset("content main article post entry wrap wrapper page".split())
+#: How far classes are believed: any unwanted word, only names that say nothing else, not at all.
+_ANY, _WHOLE, _NONE = range(3)
+#: Below this share of the page's text the classes are believed less.
+_SMALL = 0.1
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -58,25 +64,33 @@ _FENCE = frozenset("ul ol dl table article section main body div".split())
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "bad", "points")
+    __slots__ = ("name", "parent", "children", "bad", "never", "points")
 
     def __init__(self, name: str, parent: Node | None, bad: bool):
         self.name, self.parent, self.bad = name, parent, bad
         self.children: list[Node | str] = []
+        self.never = False
         self.points = 0.0
 
 
-def _unwanted(name: str, attrs: str) -> bool:
-    if name in DROPPED:
-        return True
-    if not attrs or name in ("html", "body", "article", "main"):
-        return bool(attrs) and name not in ("html", "body") and bool(_HIDDEN.search(attrs))
+def _never(name: str, attrs: str) -> bool:
+    """Whether an element is no part of an article, whatever its class says."""
+    return name in DROPPED or (name not in ("html", "body") and bool(attrs) and bool(_HIDDEN.search(attrs)))
+
+
+def _unwanted(name: str, attrs: str, believed: int) -> bool:
+    """Whether the class, id or role of an element marks it as no part of an article."""
+    if not attrs or name in ("html", "body", "article", "main") or believed == _NONE:
+        return False
     names = [n for m in _WHO.finditer(attrs) for n in (m[1] or m[2] or m[3] or "").split() if not n.lower().startswith(_LAYOUT)]
-    words = {w.lower() for n in names for w in _WORDS.findall(n)}
-    return bool(words & UNWANTED) or bool(_HIDDEN.search(attrs))
+    words = [{w.lower() for w in _WORDS.findall(n)} for n in names]
+    if believed == _WHOLE:
+        return any(w and w <= UNWANTED for w in words)
+    every = set().union(*words)
+    return bool(every & UNWANTED) and not every & _CONTENT
 
 
-def parse(page: str) -> Node:
+def parse(page: str, believed: int = _ANY) -> Node:
     """A tree of the page: elements with their children in order, texts as strings."""
     root = at = Node("#root", None, False)
     place, size = 0, len(page)
@@ -119,7 +133,9 @@ def parse(page: str) -> Node:
                 up = up.parent
             if last is not None:
                 at = last.parent
-        node = Node(name, at, at.bad or _unwanted(name, attrs) or (name == "header" and at.name != "article" and at.name != "section"))
+        node = Node(name, at, at.bad or _unwanted(name, attrs, believed))
+        node.never = at.never or _never(name, attrs)
+        node.bad = node.bad or node.never
         at.children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, place)
@@ -215,11 +231,36 @@ def blocks_of(nodes: list[Node]) -> list[str]:
     return found
 
 
+def _unlinked(root: Node) -> int:
+    """Characters outside links of all text that may belong to an article, whatever the classes say."""
+    chars = 0
+    stack: list[Node | str] = [root]
+    while stack:
+        here = stack.pop()
+        if isinstance(here, str):
+            chars += len(here.strip())
+        elif not here.never and here.name != "a":
+            stack.extend(here.children)
+    return chars
+
+
 def main_text(page: str | None) -> str:
-    """The article of a page: blocks joined by an empty line; empty where there is none."""
+    """The article of a page: blocks joined by an empty line; empty where there is none.
+
+    If classes leave little of the page's text, only names made of unwanted
+    words alone are believed, and if they leave nothing, none is.
+    """
     if not page:
         return ""
     root = parse(page)
+    whole = _unlinked(root)
+    text = _best_text(root)
+    if len(text) < _SMALL * whole:
+        text = max(text, _best_text(parse(page, _WHOLE)), key=len)
+    return text or (_best_text(parse(page, _NONE)) if whole else "")
+
+
+def _best_text(root: Node) -> str:
     _measure(root)
     best, most = None, 0.0
     stack: list[Node] = [root]
