@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, fingerprints, html_text, jaccard_join, language, line_dedup, pieces, quality, toxicity, url_lists
+from tidewatch.llm import (
+    chat,
+    collocations,
+    decontaminate,
+    divergence,
+    fingerprints,
+    html_text,
+    jaccard_join,
+    language,
+    line_dedup,
+    pieces,
+    quality,
+    toxicity,
+    url_lists,
+)
 from tidewatch.llm.common import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,11 +180,120 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("kept_text").alias("text"), "n_dropped")
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and one that says control strings; all figures are read back from the formatted text."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
+    formatted = chat.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more))
+    read = formatted.select(
+        "conv_id",
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_spans")), "").alias("loss"),
+    )
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.encode(told, "UTF-8"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+OP11_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) AS t(n)),
+placed AS (
+  SELECT *, coalesce(lag(role) OVER w = role, false) AS goes_on, coalesce(lead(role) OVER w = role, false) AS stays,
+         CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 5 ELSE 16 + 2 * strlen(role) END AS marks,
+         CASE role WHEN 'user' THEN 7 WHEN 'system' THEN 6 WHEN 'assistant' THEN 1 ELSE 8 + 2 * strlen(role) END AS opening,
+         len(text) + len(regexp_extract_all(text, '[\[<]\\*(/?INST\]|/?SYS\]|NEXT\]|ROLE:[0-9A-F]*\]|/ROLE\]|/s>)')) AS escaped
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(escaped + CASE WHEN goes_on THEN 6 ELSE opening END + CASE WHEN stays THEN 0 ELSE marks - opening END)::BIGINT AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+often AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS p, count(*)::HUGEINT AS a
+  FROM words, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL HAVING count(*) >= 100),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, n, 1000 * c.a * n // (x.a * y.a) AS score
+  FROM often c, unnest(range(1, c.k)) AS t(j), often x, often y, total
+  WHERE x.lang = c.lang AND x.p = c.p[1:j] AND y.lang = c.lang AND y.p = c.p[j + 1:c.k] AND total.lang = c.lang),
+weakest AS (SELECT lang, phrase, a, n, unnest(arg_min({'l': l, 'r': r, 'score': score}, score * 10 + j)) FROM cut GROUP BY lang, phrase, a, n),
+inner_part AS (
+  SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(a) AS outer_a
+  FROM often, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) GROUP BY ALL),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM weakest w LEFT JOIN inner_part USING (lang, phrase) WHERE outer_a IS NULL OR outer_a < a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+token AS (SELECT row, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term, count(*) AS all_n FROM token GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+language AS (SELECT lang, count(*) AS v, sum(all_n) AS all_total FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM token SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, any_value(all_total) AS all_total, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM doc) LEFT JOIN language USING (lang) LEFT JOIN counted USING (lang, source) GROUP BY lang, source),
+share AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (all_n + 2)) // (all_total + 2 * v) AS q
+  FROM grp JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM share WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pair UNION ALL FROM term))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_quality, op3_url_filters, op4_fingerprints, op5_decontaminate,
         op6_language, op7_sentencepiece, op8_jaccard_join, op9_html_extraction, op10_line_dedup,
+        op11_chat_format, op12_collocations, op13_source_divergence,
     )
 }
-SQL = {"op3_url_filters": OP3_SQL, "op5_decontaminate": OP5_SQL}
+SQL = {
+    "op3_url_filters": OP3_SQL,
+    "op5_decontaminate": OP5_SQL,
+    "op11_chat_format": OP11_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
+}
