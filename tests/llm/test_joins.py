@@ -1,7 +1,6 @@
 """Operators that compare rows: against brute force on driver data, and on awkward rows."""
 
 import hashlib
-import random
 import re
 from collections import defaultdict
 
@@ -11,7 +10,7 @@ from helpers_llm import awkward, empty
 from pyspark.sql import functions as F
 
 from conftest import TINY
-from tidewatch.llm import components, decontaminate, fingerprints, jaccard_join, line_dedup, queries, url_lists
+from tidewatch.llm import components, decontaminate, fingerprints, jaccard_join, queries, url_lists
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -205,140 +204,6 @@ def test_fingerprint_depends_on_order_and_on_occurrences():
     assert len({i for i in order_minhash_plainly("ab" * 10, 9, 2, 8)}) == 12
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, before = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-    return row[-1]
-
-
-def test_line_dedup_by_brute_force(spark):
-    """All lines are compared with each other; exact repeats must go, and every group must have a near chain."""
-    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{TINY}/documents.parquet").limit(60).collect())
-    table = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(table).collect()}
-    normal = {raw.lower().strip(" \t\r") for _, t in docs for raw in t.split("\n")} - {""}
-    words = spark.createDataFrame([(n,) for n in sorted(normal)], "key string").select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("word"))
-    hashes = {r.key: r.simhash for r in line_dedup.simhashes(words).collect()}
-    hub = {}
-    first = {}
-    for i, t in docs:
-        for at, raw in enumerate(t.split("\n")):
-            if line := raw.lower().strip(" \t\r"):
-                first.setdefault(line, (i, at))
-    for line in sorted(first, key=first.get):
-        hub.setdefault(hashes[line], line)
-    near = lambda a, b: distance(a, b) <= 0.2 * max(len(a), len(b))
-    links = [(a, hub[h]) for a, h in hashes.items() if a != hub[h] and near(a, hub[h])]
-    heads = sorted(hub)
-    for k, x in enumerate(heads):
-        links += [(hub[x], hub[y]) for y in heads[k + 1 :] if ((x ^ y) & (2**64 - 1)).bit_count() <= 3 and near(hub[x], hub[y])]
-    label = groups(links, hashes)
-    kept_at = {}
-    for line, place in first.items():
-        kept_at[label[line]] = min(kept_at.get(label[line], place), place)
-    for i, t in docs:
-        rest = [raw for at, raw in enumerate(t.split("\n")) if not (n := raw.lower().strip(" \t\r")) or kept_at[label[n]] == (i, at)]
-        assert got[i].kept_text == "\n".join(rest) and got[i].n_dropped == t.count("\n") + 1 - len(rest)
-
-
-def test_near_lines_go_and_other_lines_stay(spark):
-    base = " ".join(f"word{i}" for i in range(120))
-    rows = [(1, base + "\nfirst"), (2, "second\n" + base.replace("word60", "other")), (3, base.upper() + "  \n" + "unlike it " * 30)]
-    got = {r.doc_id: r.kept_text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), max_bits=3).collect()}
-    assert got[1] == base + "\nfirst" and got[3] == "unlike it " * 30 and got[2].startswith("second")
-
-
-def test_near_lines_of_every_length_are_found(spark):
-    """Recall against true edit similarity of at least 0.8: words replaced in lines of 10 to 120 words."""
-    rng = random.Random(7)
-    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
-    found, all_of = defaultdict(int), defaultdict(int)
-    rows, cases = [], {}
-    for words, changed in ((10, 1), (20, 1), (60, 1), (60, 3), (120, 6)):
-        for _ in range(20):
-            old = [word() for _ in range(words)]
-            new = list(old)
-            for at in rng.sample(range(words), changed):
-                new[at] = word()
-            cases[len(rows) + 1] = (words, changed)
-            rows += [(len(rows), " ".join(old)), (len(rows) + 1, " ".join(new))]
-    texts = spark.createDataFrame([(rows[i][1], rows[i - 1][1], i) for i in cases], "a string, b string, i long")
-    alike = {r.i for r in texts.where("levenshtein(a, b) <= 0.2 * greatest(length(a), length(b))").collect()}
-    cases = {i: c for i, c in cases.items() if i in alike}
-    for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect():
-        if r.doc_id in cases:
-            all_of[cases[r.doc_id]] += 1
-            found[cases[r.doc_id]] += r.n_dropped
-        elif r.doc_id + 1 in cases:
-            assert r.n_dropped == 0
-    assert len(all_of) == 5 and all(found[c] >= (0.6 if c[0] == 10 else 0.9) * n for c, n in all_of.items()), (dict(found), dict(all_of))
-
-
-@pytest.mark.parametrize("large", [200, 2])
-def test_lines_unlike_the_first_of_their_simhash_meet_each_other(spark, monkeypatch, large):
-    """All lines have one SimHash: those that are not like its first line are compared with each other."""
-    monkeypatch.setattr(line_dedup, "grams", lambda line: F.array(F.lit("same")))
-    a, b, c = "abcdefghijklmnopqrst" * 3, "zyxwvutsrqponmlkjihg" * 3, "0123456789!?%&/()=+*" * 3
-    texts = [a, b, b + "1", b + "22", c, c + "x", a + "7"]
-    rows = [(i, t) for i, t in enumerate(texts)]
-    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), large=large).collect()}
-    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 0, 5: 1, 6: 1}
-
-
-@pytest.mark.parametrize("large", [200, 3])
-def test_all_near_simhashes_are_compared(spark, large):
-    """Groups as by brute force over every pair of lines with near SimHashes, with and without first lines beforehand."""
-    rng = random.Random(3)
-    base = [["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40)] for _ in range(4)]
-    texts = []
-    for i in range(60):
-        words = list(base[i % 4])
-        for at in rng.sample(range(40), 1 + i % 5):
-            words[at] = "".join(rng.choice("klmnopqrst") for _ in range(6))
-        texts.append(" ".join(words))
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id for r in line_dedup.drop_repeated_lines(rows, large=large).collect() if r.n_dropped}
-    hashed = rows.select("doc_id", F.explode(line_dedup.grams(F.col("text"))).alias("word"))
-    hashes = {r.doc_id: (r.simhash, r.simhash2) for r in line_dedup.simhashes(hashed, "doc_id", hashes=2).collect()}
-    masks = line_dedup._block_masks(6, 8)
-    links = []
-    all_pairs = rows.alias("x").join(rows.alias("y"), F.col("y.doc_id") < F.col("x.doc_id"))
-    alike = all_pairs.where("levenshtein(x.text, y.text) <= 0.2 * greatest(length(x.text), length(y.text))")
-    alike = {tuple(r) for r in alike.select("x.doc_id", "y.doc_id").collect()}
-    for x in range(60):
-        for y in range(x):
-            differing = [(hashes[x][k] ^ hashes[y][k]) & (2**64 - 1) for k in range(2)]
-            if sum(d.bit_count() for d in differing) <= 32 and any(not d & m & (2**64 - 1) for d in differing for m in masks):
-                if (x, y) in alike:
-                    links.append((x, y))
-    label = groups(links, range(60))
-    assert got == {x for x in range(60) if label[x] != x}
-
-
-@pytest.mark.parametrize("limit", [10**6, 0])
-def test_line_dedup_of_awkward_rows(spark, limit):
-    docs = awkward(spark)
-    rows = line_dedup.drop_repeated_lines(docs, broadcast_rows=limit).collect()
-    assert len(rows) == 12
-    old = {r.doc_id: r.text for r in docs.collect()}
-    for r in rows:
-        if r.doc_id == 2:
-            assert r.kept_text == "" and r.n_dropped == 2
-        elif r.doc_id is not None:
-            assert r.kept_text == old[r.doc_id] and r.n_dropped == 0
-    assert line_dedup.drop_repeated_lines(empty(spark)).count() == 0
-
-
-def test_masks_leave_no_pair_out():
-    masks = line_dedup._block_masks(3, 5)
-    for bits in ((0, 1, 2), (0, 30, 63), (12, 13, 14), (63,), ()):
-        flipped = sum(1 << b for b in bits)
-        assert any(not (m & (2**64 - 1)) & flipped for m in masks)
-
-
 def test_url_lists(spark):
     day = "timestamp'2024-05-{:02d} 12:00:00'"
     captures = spark.sql(
