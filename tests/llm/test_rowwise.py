@@ -1,6 +1,7 @@
 """Classifiers, language, pieces and HTML on driver data and on awkward rows."""
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -162,8 +163,86 @@ ARTICLE = "<p>" + "A long article, with words, commas, and more of both, again a
 @pytest.mark.parametrize("beside", ["", '<div><p>A teaser, short.</p></div>'])
 def test_a_wrapper_with_an_unwanted_word_does_not_lose_the_article(wrapper, beside):
     got = html_text.main_text(f"<html><body>{beside}<div {wrapper}>{ARTICLE * 3}</div></body></html>")
-    whole = beside and wrapper in ('class="sidebar"', 'id="form"')
-    assert got.count("A long article") == (0 if whole else 15)
+    assert got.count("A long article") == 15
+
+
+@pytest.mark.parametrize(
+    "name, inside",
+    [(n, False) for n in ("page-header", "content-ad", "article-comments", "post-comments", "entry-footer", "comments-wrapper", "mainSidebar", "sidebar-left")]
+    + [(n, True) for n in ("content-sidebar-wrap", "main-header-fixed", "layout-with-sidebar", "post comments-open", "entry has-comments", "story")],
+)
+def test_the_last_word_of_a_name_says_what_it_is(name, inside):
+    got = html_text.main_text(f'<body><div>{ARTICLE * 2}<div class="{name}"><p>This text, or not, is said to stand here, for all.</p></div></div></body>')
+    assert got.count("A long article") == 10 and ("This text, or not" in got) == inside
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "".join(f"<div>text number {i}, here" for i in range(40_000)),
+        "<b>text</i>" * 100_000,
+        "<i><div>" + "<b>text</i>" * 100_000,
+        "<ul>" + "<li>a, b<ul>" * 50_000,
+    ],
+)
+def test_time_grows_with_the_page(page):
+    def seconds(text):
+        start = time.process_time()
+        html_text.main_text(text)
+        return time.process_time() - start
+
+    half, whole = seconds(page[: len(page) // 2]), seconds(page)
+    assert whole < 6 and whole < 4 * half + 0.2
+
+
+def plain_sizes(node):
+    """(characters, in links, commas) of the wanted text below an element, by recursion."""
+    chars = links = commas = 0
+    for child in node.children:
+        if isinstance(child, str):
+            c, l, k = len(child.strip()), 0, sum(child.count(x) for x in ",、，")
+        else:
+            c, l, k = (0, 0, 0) if child.bad else plain_sizes(child)
+        chars, links, commas = chars + c, links + l, commas + k
+    return chars, chars if node.name == "a" else links, commas
+
+
+def plain_points(node, points):
+    """Points of every element: what its paragraphs give, whole to themselves' containers, less to those further up."""
+    for child in node.children:
+        if not isinstance(child, str) and not child.bad:
+            plain_points(child, points)
+    chars, links, commas = plain_sizes(node)
+    own = sum(len(c.strip()) if isinstance(c, str) else plain_sizes(c)[0] * (not c.bad and c.name not in html_text.BLOCK) for c in node.children)
+    if chars and (node.name in html_text.PARAGRAPH or (node.name in html_text.CONTAINER and own >= 25)):
+        gives = (1 + commas + min(chars / 100, 3)) * (1 - links / chars)
+        above = [node.parent, *(a.parent if a else None for a in (node.parent, node.parent and node.parent.parent, node.parent and node.parent.parent and node.parent.parent.parent))]
+        for a, share in zip(above, (1, 1 / 2, 1 / 6, 1 / 9), strict=True):
+            if a is not None:
+                points[a] = points.get(a, 0) + gives * share
+        if node.name not in html_text.PARAGRAPH:
+            points[node] = points.get(node, 0) + gives
+    return points
+
+
+def test_points_by_brute_force(spark):
+    pages = [r.html for r in spark.read.parquet(f"{TINY}/pages.parquet").collect()] + [PAGE]
+    for page in pages:
+        order = html_text._nodes(html_text.parse(page))
+        html_text._judge(order, html_text._ANY, html_text._free(order))
+        html_text._measure(order)
+        want = plain_points(order[0], {})
+        for node in order:
+            if not node.bad:
+                assert node.points == pytest.approx(want.get(node, 0)) and (node.chars, node.links) == plain_sizes(node)[:2]
+
+
+def test_pages_empty_and_repeated(spark):
+    pages = spark.createDataFrame([(1, None), (2, PAGE), (2, PAGE), (None, "")], "page_id long, html string")
+    got = [(r.page_id, r.t.count("\n\n")) for r in pages.select("page_id", html_text.extract_text(pages).alias("t")).collect()]
+    assert sorted(got, key=str) == [(1, 0), (2, 3), (2, 3), (None, 0)]
+    none = pages.limit(0)
+    assert none.select(html_text.extract_text(none).alias("t")).count() == 0
 
 
 def test_comments_longer_than_the_article_stay_out():
