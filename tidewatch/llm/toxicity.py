@@ -79,10 +79,11 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from at most ``fit_rows`` labelled documents whose label row satisfies ``keep``.
 
-    Document counts per n-gram and class are made in Spark tasks; at most
-    2**bits sums and the ``features`` n-grams that tell the classes apart best
-    reach the driver. Without rows of both classes the score is the share of
-    label 1 (one half without any row).
+    Document counts per n-gram and class are made and ranked by Spark, and the
+    coefficients are fitted by one task over the sample's encoded rows, so that
+    ``features`` n-grams with their weights are all that reaches the driver.
+    Without rows of both classes the score is the share of label 1 (one half
+    without any row). Repeated documents count again, nulls are empty texts.
     """
     spark = documents.sparkSession
     prepare(spark)
@@ -96,27 +97,20 @@ def fit_toxicity(
         slots = np.flatnonzero(counts.any(axis=0))
         yield pd.DataFrame({"slot": slots, "clean": counts[0, slots], "toxic": counts[1, slots]})
 
-    sums = (
-        sample.mapInPandas(count, "slot long, clean long, toxic long")
-        .groupBy("slot")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where("clean + toxic > 1")  # what one document has tells nothing
-        .toPandas()
-    )
     per_class = {r["label"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("label")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = per_class.get(True, 0), per_class.get(False, 0)
     if not toxic or not clean:
         return ToxicityModel(np.zeros(1 << bits, np.float32), float(np.log((toxic + 0.5) / (clean + 0.5))), shortest, longest)
 
-    with_toxic, with_clean = sums["toxic"].to_numpy(float), sums["clean"].to_numpy(float)
-    ratio = np.log((with_toxic + 1) / (toxic + 2)) - np.log((with_clean + 1) / (clean + 2))
-    share = (with_toxic + with_clean) / (toxic + clean)
     # How far the count among toxic rows is from its expectation, in standard deviations.
-    distance = np.abs(with_toxic - toxic * share) / np.sqrt(toxic * share * (1 - toxic / (toxic + clean)) + 0.5)
-    best = np.argsort(-distance, kind="stable")[:features]
-    slots = np.sort(sums["slot"].to_numpy()[best])
-    scale = np.zeros(1 << bits)
-    scale[sums["slot"].to_numpy()] = ratio
+    expected = toxic * (F.col("clean") + F.col("toxic")) / (toxic + clean)
+    distance = F.abs(F.col("toxic") - expected) / F.sqrt(expected * (clean / (toxic + clean)) + 0.5)
+    ratio = F.log((F.col("toxic") + 1) / F.lit(float(toxic + 2))) - F.log((F.col("clean") + 1) / F.lit(float(clean + 2)))
+    sums = sample.mapInPandas(count, "slot long, clean long, toxic long").groupBy("slot").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # What one document has tells nothing.
+    best = sums.where("clean + toxic > 1").select("slot", ratio.alias("ratio"), distance.alias("distance"))
+    best = sorted(best.orderBy(F.col("distance").desc(), "slot").limit(features).select("slot", "ratio").collect())
+    slots, scale = np.array([r.slot for r in best], np.int64), np.array([r.ratio for r in best], float)
     wanted = np.zeros(1 << bits, bool)
     wanted[slots] = True
     held = spark.sparkContext.broadcast(wanted)
@@ -126,14 +120,20 @@ def fit_toxicity(
             found = [_present(t, shortest, longest, held.value).astype(np.int32).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"found": found, "label": (batch["label"] > 0).astype(float)})
 
-    rows = sample.mapInPandas(encode, "found binary, label double").toPandas()
-    position = np.zeros(1 << bits, np.int64)
-    position[slots] = np.arange(len(slots))
-    weight, bias = _fit_coefficients(
-        [position[np.frombuffer(bytes(f), np.int32)] for f in rows["found"]], rows["label"].to_numpy(), scale[slots], steps, ridge
-    )
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, label = [], []
+        for batch in batches:
+            found += [np.searchsorted(slots, np.frombuffer(bytes(f), np.int32)) for f in batch["found"]]
+            label += batch["label"].tolist()
+        if found:
+            weight, bias = _fit_coefficients(found, np.array(label), scale, steps, ridge)
+            yield pd.DataFrame({"at": np.arange(-1, len(weight)), "value": np.append(bias, weight)})
+
+    encoded = stored(sample.mapInPandas(encode, "found binary, label double"), "toxicity-rows")
+    fitted = sorted(encoded.coalesce(1).mapInPandas(fit, "at int, value double").collect())
+    bias, weight = fitted[0].value, np.array([r.value for r in fitted[1:]])
     weights = np.zeros(1 << bits, np.float32)
-    weights[slots] = weight * scale[slots]
+    weights[slots] = weight * scale
     return ToxicityModel(weights, float(bias), shortest, longest)
 
 
