@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +15,36 @@ from tidewatch.session import fresh_path, ship_package
 WORD_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here, and a lost executor costs no recompute."""
     path = fresh_path(df.sparkSession, name)
+    if (paths := _PASSING.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end: whatever was made of them must have been written elsewhere by then."""
+    token = _PASSING.set([])
+    try:
+        yield
+    finally:
+        for path in _PASSING.get() or []:
+            delete_path(spark, path)
+        _PASSING.reset(token)
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package."""
     ship_package(spark)
