@@ -74,25 +74,22 @@ def with_previous(staged: DataFrame, bucket: str = "hour") -> DataFrame:
     )
 
 
-def fct_vessel_positions(staged: DataFrame, bucket: str = "hour") -> DataFrame:
-    """Position fact: leg distance and signal gap since the previous ping."""
-    kept = staged.select(
-        "mmsi",
-        "position_ts",
-        "latitude",
-        "longitude",
-        "sog",
-        "cog",
-        "heading",
-        "nav_status",
-        "vessel_type_code",
-    )
+FACT_COLUMNS = ["mmsi", "position_ts", "latitude", "longitude", "sog", "cog", "heading", "nav_status", "vessel_type_code"]
+
+
+def position_legs(pings: DataFrame) -> DataFrame:
+    """The position fact of pings that know their previous one (prev_ts, prev_lat, prev_lon)."""
     here = (F.col("latitude"), F.col("longitude"))
     there = (F.col("prev_lat"), F.col("prev_lon"))
-    return with_previous(kept, bucket).select(
+    return pings.select(
         F.col("mmsi").alias("vessel_key"),
-        *kept.columns[1:],
+        *FACT_COLUMNS[1:],
         time_key(F.col("position_ts")).alias("time_key"),
         haversine_nm(*there, *here).alias("distance_nm"),
         gap_minutes(F.col("position_ts"), F.col("prev_ts")).alias("time_gap_minutes"),
     )
+
+
+def fct_vessel_positions(staged: DataFrame, bucket: str = "hour") -> DataFrame:
+    """Position fact: leg distance and signal gap since the previous ping."""
+    return position_legs(with_previous(staged.select(*FACT_COLUMNS), bucket))
