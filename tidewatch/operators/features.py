@@ -33,6 +33,7 @@ DURATION_FEATURES = [
 TRANSITION_FEATURES = ["time_gap_minutes", "distance_nm", "sog", "vessel_type_code", "hour_of_day"]
 
 LONGEST_STAY_HOURS = 720
+LONG_GAP_MIN = 60
 
 
 def port_stats(calls: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def vessel_voyage(fact: DataFrame) -> DataFrame:
         F.max("distance_nm").alias("max_leg_distance"),
         F.count(F.lit(1)).alias("position_count"),
         F.avg(F.hour("position_ts")).alias("avg_hour"),
-        F.count_if(F.col("time_gap_minutes") > 60).alias("n_gaps_over_1h"),
+        F.count_if(F.col("time_gap_minutes") > LONG_GAP_MIN).alias("n_gaps_over_1h"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import parity_round
+from tidewatch.functions import labels, parity_round
 from tidewatch.operators import features, metrics, models
 from tidewatch.plans.oracles import check_sql
 from tidewatch.plans.queries_serving import PREDICTED, predicted
@@ -50,15 +50,19 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: parity_round(F.col(c), digits) for c in columns})
 
 
+# Checks that go by another way than the package: lists per vessel, windows over ports, one sub-select per looked-up value.
 _STEPS = {
-    "stats": "select port_key, avg(duration_hours) as avg_port_duration, count(*) as port_call_count from fpc group by 1",
-    "voyage": """select vessel_key, vessel_type_code, avg(sog) as avg_sog, stddev_samp(sog) as sog_variability,
- max(distance_nm) as max_leg_distance, count(*) as position_count, avg(hour(position_ts)) as avg_hour,
- count(*) filter (where time_gap_minutes > 60) as n_gaps_over_1h from fct group by all""",
-    "delay": """select c.vessel_key, c.port_key, c.arrival_ts, c.duration_hours, v.vessel_type_code, v.avg_sog, v.sog_variability,
- v.max_leg_distance, v.position_count, v.avg_hour, v.n_gaps_over_1h, s.avg_port_duration, s.port_call_count,
- case when c.duration_hours > 48 then 1 else 0 end as is_delayed from fpc c join voyage v using (vessel_key)
- left join stats s using (port_key) where c.duration_hours is not null and v.avg_sog is not null""",
+    "stats": """select distinct port_key, avg(duration_hours) over port as avg_port_duration, count(*) over port as port_call_count
+ from fpc window port as (partition by port_key)""",
+    "voyage": f"""select vessel_key, vessel_type_code, list_avg(speeds) as avg_sog, list_stddev_samp(speeds) as sog_variability,
+ list_max(legs) as max_leg_distance, len(hours) as position_count, list_avg(hours) as avg_hour,
+ len(list_filter(gaps, lambda g: g > {features.LONG_GAP_MIN})) as n_gaps_over_1h
+ from (select vessel_key, vessel_type_code, list(sog) as speeds, list(distance_nm) as legs, list(time_gap_minutes) as gaps,
+ list(date_part('hour', position_ts)) as hours from fct group by all)""",
+    "delay": f"""select known.*, call.* exclude (caller) from (
+ select port_key, arrival_ts, duration_hours, avg(duration_hours) over port as avg_port_duration, count(*) over port as port_call_count,
+ vessel_key as caller, cast(duration_hours > {labels.EXTENDED_STAY_HOURS} as int) as is_delayed from fpc window port as (partition by port_key)) call,
+ lateral (select * from voyage where vessel_key = caller and avg_sog is not null) known where duration_hours is not null""",
 }
 _MEANS = ["avg_sog", "sog_variability", "avg_hour", "avg_port_duration"]
 
@@ -88,10 +92,15 @@ def _(spark, sf_dir):
     return _rounded(_delay_set(spark, sf_dir).drop("arrival_ts"), *_MEANS)
 
 
-_DURATION = """select c.vessel_key, c.port_key, c.duration_hours, v.vessel_type_code, v.length_m, v.width_m, v.draft_m,
- p.channel_depth_m, p.harbor_size_rank, p.latitude as port_lat, p.longitude as port_lon
- from fpc c left join dv v using (vessel_key) left join dp p using (port_key)
- where c.duration_hours > 0 and c.duration_hours < 720"""
+_LOOKED_UP = [
+    *[(c, c, "dv", "vessel_key") for c in ("vessel_type_code", "length_m", "width_m", "draft_m")],
+    *[(c, n, "dp", "port_key") for c, n in (("channel_depth_m",) * 2, ("harbor_size_rank",) * 2, ("latitude", "port_lat"), ("longitude", "port_lon"))],
+]
+_DURATION = (
+    "select vessel_key, port_key, duration_hours, "
+    + ", ".join(f"(select {column} from {dim} where {dim}.{key} = fpc.{key}) as {name}" for column, name, dim, key in _LOOKED_UP)
+    + f" from fpc where sign(duration_hours) = 1 and not duration_hours >= {features.LONGEST_STAY_HOURS}"
+)
 
 
 @query("ml4_duration_features", check_sql(_DURATION))
@@ -99,9 +108,9 @@ def _(spark, sf_dir):
     return features.duration_features(*_tables(spark, sf_dir, "fct_port_calls", "dim_vessels", "dim_ports"))
 
 
-_LEGS = """select vessel_key, position_ts, time_gap_minutes, distance_nm, sog, vessel_type_code, hour(position_ts) as hour_of_day,
- case when time_gap_minutes > 120 then 1 else 0 end as is_anomaly_proxy from fct
- where time_gap_minutes is not null and distance_nm is not null"""
+_LEGS = f"""select * exclude (over), coalesce(over, 0) as is_anomaly_proxy from (
+ select vessel_key, position_ts, date_part('hour', position_ts) as hour_of_day, sog, distance_nm, time_gap_minutes, vessel_type_code,
+ cast(time_gap_minutes > {labels.BLACKOUT_MIN} as int) as over from fct) where time_gap_minutes + distance_nm is not null"""
 
 
 @query("ml5_transition_features", check_sql(_LEGS))

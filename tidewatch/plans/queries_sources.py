@@ -132,7 +132,7 @@ def _land_positions(spark: SparkSession, sf_dir: str, files: int | None = None)
     (documents.repartition(files) if files else documents).write.json(path)
     text = documents.select(F.to_json(F.struct("features")).alias("value"), F.col("features")[0]["properties"]["mmsi"].alias("mmsi"))
     cut = text.filter("mmsi % 7 = 0").select(F.expr("left(value, length(value) - 10)").alias("value"))
-    cut.coalesce(1).write.mode("append").text(path)
+    cut.write.mode("append").text(path)
     return path
 
 
