@@ -61,12 +61,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as captures; every third page's host or first path step as a dated list entry."""
+    """Pages as captures; every page's host or first path step as a dated list entry."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, page_id * 7919 % 31536000)"))
     host = F.regexp_extract("url", "://([^/?#]+)", 1)
     step = F.regexp_extract("url", "://[^/?#]+/([^/?#]+)", 1)
-    entries = pages.where("page_id % 3 = 0").select(
+    entries = pages.select(
         F.when(F.col("page_id") % 2 == 0, host).otherwise(F.concat(host, F.lit("/"), step)).alias("pattern"),
         F.expr("CASE page_id % 5 WHEN 0 THEN 'remove' WHEN 1 THEN 'allow' ELSE 'block' END").alias("action"),
         F.expr("date_add(date'2024-01-01', cast(page_id * 31 % 400 AS int) - 30)").alias("dated"),
@@ -86,7 +86,7 @@ entries AS (
               ELSE regexp_extract(url, '://([^/?#]+)', 1) || '/' || regexp_extract(url, '://[^/?#]+/([^/?#]+)', 1) END) AS pattern,
          CASE page_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS strength,
          date '2024-01-01' + (page_id * 31 % 400 - 30)::INTEGER AS day
-  FROM pages WHERE page_id % 3 = 0),
+  FROM pages),
 daily AS (SELECT pattern, day, max(strength) AS strength FROM entries GROUP BY ALL),
 cover AS (
   SELECT page_id, fetched_at, host || '/' || array_to_string(steps[1:n], '/') AS pattern, 1000 - n AS place
@@ -229,16 +229,27 @@ OP12_SQL = r"""
 WITH piece AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+words AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
 total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+word AS (SELECT lang, id, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM words),
+run AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+  FROM word WINDOW p AS (PARTITION BY id ORDER BY i)),
 often AS (
-  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS p, count(*)::HUGEINT AS a
-  FROM words, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL HAVING count(*) >= 100),
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS p, a::HUGEINT AS a FROM (
+    SELECT lang, 1 AS k, w1 AS phrase, count(*) AS a FROM run GROUP BY ALL
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM run WHERE w2 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM run WHERE w3 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM run WHERE w4 IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5, count(*) FROM run WHERE w5 IS NOT NULL GROUP BY ALL)
+  WHERE a >= 100),
+part AS (
+  SELECT lang, phrase, a, j, array_to_string(p[1:j], ' ') AS head, array_to_string(p[j + 1:k], ' ') AS tail
+  FROM often, unnest(range(1, k)) AS t(j)),
 cut AS (
   SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, n, 1000 * c.a * n // (x.a * y.a) AS score
-  FROM often c, unnest(range(1, c.k)) AS t(j), often x, often y, total
-  WHERE x.lang = c.lang AND x.p = c.p[1:j] AND y.lang = c.lang AND y.p = c.p[j + 1:c.k] AND total.lang = c.lang),
-weakest AS (SELECT lang, phrase, a, n, unnest(arg_min({'l': l, 'r': r, 'score': score}, score * 10 + j)) FROM cut GROUP BY lang, phrase, a, n),
+  FROM part c JOIN often x ON x.lang = c.lang AND x.phrase = c.head JOIN often y ON y.lang = c.lang AND y.phrase = c.tail JOIN total ON total.lang = c.lang),
+weakest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 inner_part AS (
   SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(a) AS outer_a
   FROM often, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) GROUP BY ALL),
