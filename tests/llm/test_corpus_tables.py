@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers_llm import awkward, empty
 from hypothesis import given, settings
@@ -204,3 +205,55 @@ def test_shares_beyond_64_bits(spark):
     rows = spark.createDataFrame([(10**13, 3 * 10**13, 5), (9 * 10**17, 9 * 10**17 + 7, 10**6)], "n long, total long, terms long")
     got = [r.p for r in rows.select(divergence._share("n", "total", "terms").alias("p")).collect()]
     assert got == [1 + 10**9 * (n + 2) // (total + 2 * v) for n, total, v in ((10**13, 3 * 10**13, 5), (9 * 10**17, 9 * 10**17 + 7, 10**6))]
+
+
+@pytest.mark.parametrize("together, held", [(1, 1), (7, 3), (50, 10)])
+def test_counts_handed_on_in_small_parts(monkeypatch, together, held):
+    """Tasks that may hold next to nothing give the same sums, in more rows."""
+    monkeypatch.setattr(collocations, "_TOGETHER", together)
+    monkeypatch.setattr(collocations, "_HELD", held)
+    monkeypatch.setattr(collocations, "_CUT", 5)
+    monkeypatch.setattr(divergence, "_HELD", held)
+    monkeypatch.setattr(divergence, "_CUT", 5)
+    rng = random.Random(8)
+    rows = [("".join(rng.choice(["a", "B", "c", "dd"]) + rng.choice([" ", " ", ".", "\t"]) for _ in range(40)), rng.choice(["en", "de"])) for _ in range(30)]
+    want = {lang: f for lang, (_, f) in plain_phrases(rows, 1, 3).items()}
+
+    def batches():
+        for i in range(0, len(rows), 7):
+            part = rows[i : i + 7]
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r in part]), pa.array([r[0].encode() for r in part], pa.binary())], names=["lang", "text"])
+
+    def summed(out, counted):
+        total = defaultdict(Counter)
+        for batch in out:
+            for r in batch.to_pylist():
+                if r["counted"] == counted:
+                    total[r["lang"]][tuple(r["phrase"].split(" "))] += r["n"]
+        return total
+
+    def of_length(k):
+        return {lang: {p: n for p, n in f.items() if len(p) == k} for lang, f in want.items()}
+
+    assert summed(collocations._count_words(batches()), True) == of_length(1)
+    words = {lang: sorted({w.encode() for p in f for w in p}) for lang, f in want.items()}
+    for listed in (words, None):
+        assert summed(collocations._pair_counter(lambda listed=listed: listed)(batches()), False) == of_length(2)
+    trie = collocations.DoubleArray.build(sorted((lang, " ".join(p).encode()) for lang, f in want.items() for p in f if len(p) == 2), 2)
+    for whole in (True, False):
+        out = list(collocations._phrase_counter(lambda: trie, whole, True)(batches()))
+        assert summed(out, True) == of_length(2) and summed(out, False) == of_length(3)
+
+    def terms():
+        for batch in batches():
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(0), batch.column(1)], names=["lang", "source", "text"])
+
+    found, documents = defaultdict(Counter), defaultdict(Counter)
+    for batch in divergence._count_terms(terms()):
+        for r in batch.to_pylist():
+            found[r["lang"]][r["term"]] += r["n"]
+            documents[r["lang"]][r["term"]] += r["docs"]
+    lower = [(t.lower().replace("\t", " ").replace(".", " ").split(), lang) for t, lang in rows]
+    for lang in found:
+        assert {t: n for t, n in found[lang].items() if t} == Counter(w for ws, of in lower if of == lang for w in ws)
+        assert {t: n for t, n in documents[lang].items() if t} == Counter(w for ws, of in lower if of == lang for w in set(ws))
