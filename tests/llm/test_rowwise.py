@@ -31,8 +31,10 @@ def test_classifier_on_held_out_documents(spark, name, label, least):
     rows = got.select("score", "predicted", label).collect()
     assert all(0 <= r.score <= 1 for r in rows)
     assert np.mean([r.predicted == r[label] for r in rows]) >= least
-    assert all(r.predicted == 1 for r in rows if r[label] == 1) or label == "toxic"
-    assert not any(r.predicted for r in rows if r[label] == 0) or label == "quality"
+    caught = np.mean([r.predicted for r in rows if r[label] == 1])
+    false = np.mean([r.predicted for r in rows if r[label] == 0])
+    # 33 toxic rows to learn from, 18 to find, 4 of which share no word with them; few rows of low quality.
+    assert (caught >= 0.75 and false == 0) if label == "toxic" else (caught == 1 and false <= 0.3)
 
 
 @pytest.mark.parametrize("module, label", [("toxicity", "toxic"), ("quality", "quality")])
