@@ -126,8 +126,10 @@ def fit_languages(documents: DataFrame, keep: Column, text: str = "text", lang:
 
     A bundle is a sum, so a prototype is made from the language's trigram
     counts: counted per task, summed by trigram, turned into vectors in tasks,
-    and summed by language. One vector per language reaches the driver. Texts
-    without a letter add nothing; a language without any is not learned.
+    and summed by language. One vector per language reaches the driver, so the
+    column should name languages: its different values are not limited. Texts
+    without a letter add nothing, repeated rows add again; a language without
+    any letter is not learned.
     """
     spark = documents.sparkSession
     prepare(spark)
@@ -164,7 +166,8 @@ def language_of(model: LanguageModel, documents: DataFrame, text: str = "text")
     """struct(lang_pred, score): the nearest prototype and its cosine, not below 0.
 
     ``und`` and 0 where the text is null or has no letter, or no language was
-    learned. Equal cosines go to the language that sorts first.
+    learned. Equal cosines go to the language that sorts first, and equal texts
+    to the same one. A text is read whole; a task holds the trigrams of one text.
     """
     prepare(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)

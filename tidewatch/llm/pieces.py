@@ -73,8 +73,10 @@ def encode_pieces(documents: DataFrame, model: bytes, text: str = "text") -> Col
     """struct(ids binary, decoded string) of every text; ids are packed little-endian 32-bit numbers.
 
     The ids equal the library's for the whole text with begin and end ids, the
-    decoded text its decode() of them. Null counts as empty. Each task keeps a
-    bounded table of the distinct marked words it met and segments each once.
+    decoded text its decode() of them. Null counts as empty; repeated rows have
+    equal results; a text is encoded whole, and a task holds the words of one
+    text. Each task keeps a bounded table of the distinct marked words it met
+    and segments a word once while it is there.
     """
     check_model(model)
     prepare(documents.sparkSession)

@@ -125,7 +125,11 @@ def fit_quality(
 
 
 def quality_score(model: QualityModel, documents: DataFrame, text: str = "text") -> Column:
-    """A number from 0 to 1 for every text: a sparse dot product; a null or empty text has the bias alone."""
+    """A number from 0 to 1 for every text: a sparse dot product; a null or empty text has the bias alone.
+
+    Equal texts have equal scores. A text is read whole, however long: a task
+    holds the words of one text and a vector of fixed length.
+    """
     prepare(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 

@@ -138,7 +138,11 @@ def fit_toxicity(
 
 
 def toxicity_score(model: ToxicityModel, documents: DataFrame, text: str = "text") -> Column:
-    """A number from 0 to 1 for every text; a null or empty text has the score of no evidence."""
+    """A number from 0 to 1 for every text; a null or empty text has the score of no evidence.
+
+    Equal texts have equal scores. A text is read whole, in pieces of 2**20 code
+    points, so a very long one costs time and little memory.
+    """
     prepare(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 
