@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["queries_silver_gold", "queries_serving", "queries_sources", "queries_models", "queries_streams", "queries_carry"]
+_MODULES = ["queries_silver_gold", "queries_serving", "queries_sources", "queries_models", "queries_streams", "queries_carry", "queries_ranges"]
 
 
 def all_entries() -> dict:
