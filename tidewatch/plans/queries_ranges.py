@@ -37,7 +37,7 @@ def _(spark, sf_dir):
 @query(
     "gld23_rolling_day",
     check_sql(
-        """select vessel_key, position_ts, sum(1) over w as pings_24h, sum(cast(round(distance_nm * 100) as bigint)) over w as distance_24h_hundredths from fct
+        """select vessel_key, position_ts, cast(sum(1) over w as bigint) as pings_24h, cast(sum(cast(round(distance_nm * 100) as bigint)) over w as bigint) as distance_24h_hundredths from fct
  window w as (partition by vessel_key order by position_ts range between interval 24 hours preceding and current row)"""
     ),
 )
@@ -85,10 +85,9 @@ def _(spark, sf_dir):
     rows = anomalies.select("anomaly_type", F.to_date("anomaly_ts").alias("day"), F.hour("anomaly_ts").alias("hour"), "vessel_key", "risk_score")
     # One row per vessel and cell before the cube copies rows into its eight levels.
     cells = rows.groupBy("anomaly_type", "day", "hour", "vessel_key").agg(F.count(F.lit(1)).alias("n"), F.max("risk_score").alias("highest"))
-    per_vessel = cells.cube("anomaly_type", "day", "hour").agg(
+    return cells.cube("anomaly_type", "day", "hour").agg(
         F.grouping_id().cast("long").alias("level"), F.sum("n").alias("n_anomalies"), F.countDistinct("vessel_key").alias("n_vessels"), F.max("highest").alias("highest")
     )
-    return per_vessel
 
 
 _OLD = "select vessel_key, position_ts, sog, heading, nav_status from fct"
