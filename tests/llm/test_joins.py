@@ -46,6 +46,15 @@ def test_connected(spark, edges):
     assert got == groups(real, {n for e in real for n in e})
 
 
+def test_connected_with_hubs(spark):
+    """Hubs of least and of greatest number, a chain between them, repeated edges and a leaf that two hubs share."""
+    low, high = [(0, n) for n in range(1000, 1400)], [(n, 9999) for n in range(2000, 2300)]
+    chain = [(n, n + 1) for n in range(3000, 3040)]
+    edges = [*low, *low, *high, *chain, (1399, 3000), (3040, 2000), (5000, 6000), *[(7000, n) for n in range(7001, 7100)], *[(n, 8000) for n in range(7050, 7200)]]
+    got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == groups(edges, {n for e in edges for n in e}) and len(set(got.values())) == 3
+
+
 def test_check_sql(spark):
     con = duckdb.connect()
     for name in ("documents", "benchmark", "pages"):

@@ -12,6 +12,18 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+def _with_low(edges: DataFrame, least: DataFrame, crowd: int) -> DataFrame:
+    """Edges (a, b) with the ``low`` of their a, from (a, low, n) where n counts a's edges.
+
+    Nodes of more than ``crowd`` edges are joined by broadcast, so that the edges
+    of a hub stay where they are; the others meet their node by shuffle.
+    """
+    hubs = stored(least.where(F.col("n") > crowd).select("a", "low"), "hubs")
+    of_hubs = edges.join(F.broadcast(hubs), "a")
+    others = edges.join(F.broadcast(hubs.select("a")), "a", "left_anti").join(least.select("a", "low"), "a")
+    return of_hubs.select("a", "b", "low").union(others.select("a", "b", "low"))
+
+
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, label) for every node of edges (a, b); the label is the least node of its group.
 
@@ -19,7 +31,9 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     smaller ones, until nothing changes; the number of rounds grows with the
     logarithm of a group's longest path. Every round is written to the shared
     folder. Least neighbours are found by a partial aggregate, so a node with
-    very many edges is no single task's work. Loops and nulls are ignored; no
+    very many edges is no single task's work; such hubs are then told to their
+    edges by broadcast. A hub has more than 1 in 10,000 of all edges (and more than
+    64), so there are 20,000 at most. Loops and nulls are ignored; no
     edges give no rows.
     """
     pairs = edges.select("a", "b").where("a <> b")
@@ -29,12 +43,14 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if not before[0]:
             break
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        crowd = max(64, before[0] // 10_000)
+        least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n")).select("a", F.least("a", "low").alias("low"), "n")
         # Every larger neighbour of a node is hung below the least of its neighbours and itself.
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = _with_low(both.where("b > a"), least, crowd)
+        large = stored(large.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "larger-neighbours")
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
         # Every node keeps its least smaller neighbour; the other smaller ones are hung below that.
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
+        small = _with_low(large, low, crowd).select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         now = stored(small.where("a <> b").distinct(), "edges")
         after = _fingerprint(now)
         if after == before:
