@@ -119,6 +119,24 @@ def test_a_full_table_starts_anew(library, monkeypatch):
     assert np.frombuffer(table("a b c a b c d")[0], "<u4").tolist() == library.encode("a b c a b c d", add_bos=True, add_eos=True)
 
 
+def test_words_are_segmented_once_and_decoded_only_if_need_be(library):
+    """A repeated word meets the library once, and plain words are not decoded by it; odd ones have its results."""
+    table, calls = pieces.ChunkTable(queries.tokenizer_model()), []
+
+    class Counting:
+        encode = staticmethod(lambda t: calls.append(("encode", t)) or library.encode(t))
+        decode = staticmethod(lambda ids: calls.append(("decode", ids)) or library.decode(ids))
+
+    table.library = Counting
+    for text in ("the sea the ship the sea", "sea the", "the  sea ", " the▁sea \x00 \U0001F6A2", "x" * 300 + " the", "x" * 300):
+        want = library.encode(text, add_bos=True, add_eos=True)
+        ids, decoded = table(text)
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want)
+    said = [t for kind, t in calls if kind == "encode" and t in ("the", "sea", "ship")]
+    assert sorted(said) == ["sea", "ship", "the"] and "x" * 300 not in table.known
+    assert sum(kind == "decode" for kind, _ in calls) <= 2
+
+
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body class="page comments-open">
 <header><a href=/>Home</a></header><nav><ul><li><a href="/x">One</a><li><a href="/y">Two</a></ul></nav>
 <div class="cookie-notice"><p>We use cookies, really, many, many cookies, all of them for you, and for us, and for our partners.</p></div>

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from tidewatch.llm.common import prepare
 MARK = "▁"
 #: A run of marks with what follows it up to the next mark. No piece holds a mark after another character.
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-#: Distinct chunks that a task keeps; the table starts anew beyond it.
+#: Distinct chunks that a task keeps between texts; the table starts anew beyond it.
 TABLE_SIZE = 1 << 17
 _LONG = 256
 
@@ -34,39 +35,60 @@ def check_model(model: bytes) -> None:
 
 
 class ChunkTable:
-    """Ids and decoded text of marked words, each segmented once."""
+    """Ids and decoded text of marked words, each segmented once. A marked word is known by what follows its first mark."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.begin, self.end = self.library.bos_id(), self.library.eos_id()
+        self.known: dict[str, bytes] = {}
+        #: Words that are not decoded to themselves.
+        self.changed: dict[str, str] = {}
+        self.begin, self.end = (self._packed([i]) for i in (self.library.bos_id(), self.library.eos_id()))
         self.anchor = self.library.piece_to_id("a")
         self.mark = self.library.piece_to_id(MARK)
+        kinds = (self.library.is_unknown, self.library.is_control, self.library.is_unused, self.library.is_byte)
+        self.unlike_text = frozenset(i for i in range(self.library.get_piece_size()) if any(kind(i) for kind in kinds))
 
-    def _segment(self, chunk: str) -> tuple[bytes, str]:
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _segment(self, word: str) -> bytes:
         # The library puts one mark in front itself, but not before nothing.
-        ids = [self.mark] if chunk == MARK else self.library.encode(chunk[1:].replace(MARK, " "))
-        text = self.library.decode([self.anchor, *ids])[1:]
-        entry = (np.array(ids, "<u4").tobytes(), text)
-        if len(chunk) <= _LONG:
-            if len(self.known) >= TABLE_SIZE:
-                self.known.clear()
-            self.known[chunk] = entry
-        return entry
+        text = word.replace(MARK, " ")
+        ids = self.library.encode(text) if word else [self.mark]
+        # Pieces that are parts of the text put together are the text.
+        if not self.unlike_text.isdisjoint(ids) and (decoded := self.library.decode([self.anchor, *ids])[2:]) != text:
+            self.changed[word] = decoded
+        self.known[word] = packed = self._packed(ids)
+        return packed
 
     def __call__(self, text: str) -> tuple[bytes, str]:
         """(ids as little-endian 32-bit numbers with begin and end, text decoded from them)."""
-        known = self.known
-        begin, end = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
         if not text:
-            return begin + end, ""
-        chunks = _CHUNK.findall(MARK + text.replace(" ", MARK))
-        entries = [known.get(c) or self._segment(c) for c in chunks]
-        ids = b"".join([begin, *[e[0] for e in entries], end])
+            return self.begin + self.end, ""
+        if len(self.known) >= TABLE_SIZE:
+            self.known.clear()
+            self.changed.clear()
+        words = text.split(" ")
+        if "" in words or MARK in text:
+            words = [chunk[1:] for chunk in _CHUNK.findall(MARK + text.replace(" ", MARK))]
+        known = self.known
+        parts = list(map(known.get, words))
+        new = [w for w, part in zip(words, parts) if part is None] if None in parts else []
+        if new:
+            parts = [part or known.get(w) or self._segment(w) for w, part in zip(words, parts)]
         # Decoding drops the mark that encoding put in front.
-        return ids, "".join([e[1] for e in entries])[1:]
+        if self.changed.keys().isdisjoint(words):
+            decoded = text.replace(MARK, " ")
+        else:
+            decoded = " ".join([self.changed.get(w) if w in self.changed else w.replace(MARK, " ") for w in words])
+        for w in new:
+            if len(w) >= _LONG:
+                known.pop(w, None)
+                self.changed.pop(w, None)
+        return b"".join([self.begin, *parts, self.end]), decoded
 
 
 def encode_pieces(documents: DataFrame, model: bytes, text: str = "text") -> Column:
