@@ -83,3 +83,57 @@ def test_grid_join_shuffles_when_ports_are_many(spark):
         assert "SortMergeJoin" in plan_of(got) and got.count() == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def wandering(spark):
+    """Vessels that jump between fences for weeks, with unknown speeds and a null vessel, and ports of which two share a number."""
+    rng = random.Random(8)
+    spots = [(10.0, 20.0), (10.06, 20.0), (10.12, 20.05), (30.0, 40.0), (10.5, 20.5)]
+    rows = []
+    for vessel in ("a", "b", None):
+        for i in range(120):
+            lat, lon = spots[rng.choice([0, 0, 0, 1, 2, 3, 4])]
+            rows.append((vessel, at(i * 7 + rng.random()), lat + rng.random() / 100, lon, rng.choice([0.2, 0.9, 1.0, 5.0, None])))
+    ports = [(1, "P", 10.05, 20.0), (2, "Q", 10.1, 20.0), (3, "R", 30.0, 40.0), (4, "S", 10.0, 19.95), (4, "S", 10.5, 20.5), (5, "T", None, 1.0)]
+    return spark.createDataFrame(rows, PING), spark.createDataFrame(ports, PORT)
+
+
+def test_stops_near_are_the_stops_of_all_pairs(spark):
+    staged, ports = wandering(spark)
+    rows = lambda df: sorted(map(str, df.select(*port_calls._NEAR, "event_type").collect()))
+    want = rows(port_calls.stops(port_calls.near_ports(staged, ports)))
+    assert rows(port_calls.stops_near(staged, ports)) == want and len(want) > 100
+
+
+def test_pairs_known_by_the_last_pings_are_not_exchanged(spark):
+    """A vessel that stays in its fences for a week sends only what is first or last there, and no pair between."""
+    staged = pings(spark, [0.2, 5.0, 0.3] * 40)
+    near = port_calls.near_ports(staged, port(spark))
+    found = port_calls.stops_near(staged, port(spark))
+    assert found.count() == 81 and near.count() == 120
+    asked = []
+    keep = port_calls.stops
+    port_calls.stops = lambda near, *args: asked.append(near.count()) or keep(near, *args)
+    try:
+        port_calls.stops_near(staged, port(spark))
+    finally:
+        port_calls.stops = keep
+    assert sum(asked) < 12
+
+
+@pytest.mark.parametrize("departure", ["next_arrival", "next_departure"])
+def test_calls_made_in_parts(spark, monkeypatch, departure):
+    """Parts of vessels give the calls of all pairs, and what was stored on the way is gone."""
+    from pathlib import Path
+
+    from tidewatch.session import shared_dir
+
+    staged, ports = wandering(spark)
+    monkeypatch.setattr(port_calls, "_PINGS_OF_PART", 100)
+    made = port_calls.stage_port_calls(staged, ports, departure)
+    want = port_calls.port_calls(port_calls.stops(port_calls.near_ports(staged, ports)), departure)
+    assert made.columns == want.columns
+    assert sorted(map(str, made.collect())) == sorted(map(str, want.collect())) != []
+    assert len({f.split("vessel_part=")[1].split("/")[0] for f in made.inputFiles()}) > 1
+    kept = Path(shared_dir(spark).removeprefix("file:"))
+    assert not list(kept.glob("port-events-*")) and not list(kept.glob("port-pings-*"))
