@@ -112,6 +112,19 @@ def test_port_call_stream_equals_batch(spark, tmp_path):
     assert same(ordered.settled_calls(got), want) and got.count() > want.count()
 
 
+def test_port_calls_of_a_state_for_many_vessels(spark, tmp_path, monkeypatch):
+    """Two states hold all vessels and ports, null ones too, and give the calls of a batch."""
+    monkeypatch.setattr(ordered, "_STATES", 2)
+    fences = spark.createDataFrame([(1, "One", 10.0, 20.0), (None, "No number", 10.02, 20.01), (3, "Near", 10.01, 19.99)], PORTS)
+    named = F.when(F.col("mmsi") != "1", F.col("mmsi"))
+    staged = positions.dedup_positions(some_pings(spark, 6).withColumn("mmsi", named))
+    got, streams, clean = played(spark, tmp_path, staged, lambda p: ordered.port_call_stream(p, fences, "3 hours"), 4)
+    want = port_calls.port_calls(port_calls.stops(port_calls.near_ports(clean, fences)))
+    assert want.where("port_id is null").count() > 5 and want.select("mmsi", "port_id").distinct().count() > 4
+    assert same(ordered.settled_calls(got), want)
+    assert 1 <= silver.state_rows(streams[-1])[-1] <= 2
+
+
 def test_stop_events_by_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(300):

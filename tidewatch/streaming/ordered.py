@@ -3,7 +3,7 @@
 Pings arrive out of order within a delay. Per key a function holds those that
 the watermark has not passed, and releases the others in order of time; what a
 later ping needs to know of them is a few numbers. So the state of a key is
-bounded by the pings within the delay. Input are pings without repeats, such as
+bounded by the pings within the delay (port calls: and a row per port that it was near). Input are pings without repeats, such as
 the table that ``dedup_stream`` appends to.
 """
 
@@ -97,11 +97,20 @@ def anomaly_stream(pings: DataFrame, delay: str = "1 hour") -> DataFrame:
 _CALL = "mmsi string, port_id int, port_name string, arrival_us long, departure_us long, arrival_lat double, arrival_lon double"
 
 
-def stop_events(sog: np.ndarray, before: float | None, seen: bool, slow_kts: float) -> np.ndarray:
-    """1 where a stop begins, -1 where one ends, of speeds in order after a ping with speed ``before`` (nan: unknown)."""
+#: No time, or no number of a port.
+_NONE = -(2**63)
+#: Vessels are dealt to so many states; a task works on the vessels of a state together.
+_STATES = 512
+
+
+def stop_events(sog: np.ndarray, before: float | None, seen: bool, slow_kts: float, starts: np.ndarray | None = None) -> np.ndarray:
+    """1 where a stop begins, -1 where one ends, of speeds in order after a ping with speed ``before`` (nan: unknown).
+
+    ``starts`` says where the speeds of another vessel or port begin, which has no ping before.
+    """
     previous = np.concatenate([[np.nan if before is None else before], sog[:-1]])
-    first = np.zeros(len(sog), bool)
-    first[:1] = not seen
+    first = np.zeros(len(sog), bool) if starts is None else starts.copy()
+    first[:1] |= not seen
     arrives = (sog < slow_kts) & (first | (previous >= slow_kts))
     departs = (sog >= slow_kts) & (first | (previous < slow_kts))
     return arrives.astype(int) - departs.astype(int)
@@ -109,47 +118,81 @@ def stop_events(sog: np.ndarray, before: float | None, seen: bool, slow_kts: flo
 
 def _calls(slow_kts: float):
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        """Calls that begin (without an end) and calls that end, of one vessel in one port."""
-        seen, sog, name, since, lat, lon, held = state.get if state.exists else (False, None, None, None, None, None, None)
-        ready, held = release(held, frames, state)
+        """Calls that begin (without an end) and calls that end, of some vessels in all ports; the state has a row per vessel and port."""
+        held, known = state.get if state.exists else (None, None)
+        ready, held = release(held, (f.drop(columns=["part", "position_ts"]) for f in frames), state)
         if ready is not None and len(ready):
-            speeds = ready["sog"].to_numpy(float)
-            arrivals = ready[stop_events(speeds, sog, seen, slow_kts) == 1]
-            calls = [] if since is None else [(name, since, lat, lon)]
-            calls += list(zip(arrivals["port_name"].tolist(), arrivals[_US].tolist(), arrivals["latitude"].tolist(), arrivals["longitude"].tolist(), strict=True))
-            seen, sog = True, None if np.isnan(speeds[-1]) else float(speeds[-1])
-            if len(arrivals):
-                ended = [(*c, after[1]) for c, after in zip(calls, calls[1:])]
-                rows = [*ended, (*calls[-1], None)]
-                name, since, lat, lon = calls[-1]
-                yield pd.DataFrame(
-                    {
-                        "mmsi": [key[0]] * len(rows),
-                        "port_id": [key[1]] * len(rows),
-                        "port_name": [r[0] for r in rows],
-                        "arrival_us": [r[1] for r in rows],
-                        "departure_us": pd.array([r[4] for r in rows], "Int64"),
-                        "arrival_lat": [r[2] for r in rows],
-                        "arrival_lon": [r[3] for r in rows],
-                    }
-                )
-        state.update((seen, sog, name, since, lat, lon, held))
+            calls, known = _next_calls(_unpack(known) if known else None, ready, slow_kts)
+            known = _pack(known)
+            if len(calls):
+                yield calls
+        state.update((held, known))
 
     return step
 
 
+def _next_calls(known: pd.DataFrame | None, ready: pd.DataFrame, slow_kts: float) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """(the calls that ``_CALL`` describes, what is known then) of pings in order of time.
+
+    ``known`` has the last speed of every vessel in every port it was near, and where and since when
+    its last call there lies (``_NONE``: there was none).
+    """
+    every = ready.assign(old=False) if known is None else pd.concat([known.assign(old=True), ready.assign(old=False)], ignore_index=True)
+    vessel = pd.factorize(every["mmsi"], use_na_sentinel=False)[0]
+    # The sort is stable: what is known of a vessel and port comes before its pings, which are in order.
+    order = np.lexsort((vessel, every["port_id"].to_numpy()))
+    every, vessel = every.iloc[order].reset_index(drop=True), vessel[order]
+    port, old, at, sog = (every[c].to_numpy() for c in ("port_id", "old", _US, "sog"))
+    first = np.ones(len(every), bool)
+    first[1:] = (vessel[1:] != vessel[:-1]) | (port[1:] != port[:-1])
+    last = np.append(first[1:], True)
+
+    arrives = ~old & (stop_events(sog.astype(float), None, True, slow_kts, first) == 1)
+    begins = np.flatnonzero(arrives | (old & (at != _NONE)))
+    group = np.cumsum(first)
+    follows = np.append(group[begins[1:]] == group[begins[:-1]], False)[: len(begins)]
+    until = pd.array(np.append(at[begins[1:]], _NONE)[: len(begins)], "Int64")
+    until[~follows] = pd.NA
+    told = arrives[begins] | follows
+    found = every.iloc[begins[told]]
+    numbers = pd.array(found["port_id"].to_numpy(), "Int64")
+    numbers[found["port_id"].to_numpy() == _NONE] = pd.NA
+    calls = pd.DataFrame(
+        {
+            "mmsi": found["mmsi"].to_numpy(),
+            "port_id": numbers.astype("Int32"),
+            "port_name": found["port_name"].to_numpy(),
+            "arrival_us": found[_US].to_numpy(),
+            "departure_us": until[told],
+            "arrival_lat": found["latitude"].to_numpy(),
+            "arrival_lon": found["longitude"].to_numpy(),
+        }
+    )
+    # The last speed of each, and its last call, if it has one.
+    latest = np.full(len(every), -1)
+    latest[begins] = begins
+    latest = np.maximum.accumulate(latest)[last]
+    some = latest >= np.flatnonzero(first)
+    after = every.iloc[np.where(some, latest, np.flatnonzero(last))].reset_index(drop=True)
+    after["sog"] = sog[last]
+    after.loc[~some, _US] = _NONE
+    return calls, after[["mmsi", "port_id", "port_name", "latitude", "longitude", "sog", _US]]
+
+
 def port_call_stream(pings: DataFrame, ports: DataFrame, delay: str = "1 hour", slow_kts: float = 1.0, radius_deg: float = 0.1) -> DataFrame:
     """Port calls of a stream of pings without repeats; a call is a row when it begins and another when it ends.
 
     Pings meet the ports of their grid cell (``near_ports``), then each (vessel,
-    port) goes through the states of ``port_events``. ``settled_calls`` of the
-    appended rows are the calls as of now, those of ``port_calls``.
+    port) goes through the states of ``port_events``. A vessel is near many ports, so
+    vessels are dealt to ``_STATES`` groups that keep a row per vessel and port and work on their pings
+    together. ``settled_calls`` of the appended rows are the calls as of now, those of ``port_calls``.
     """
     ship_package(pings.sparkSession)
     near = near_ports(pings.withWatermark("position_ts", delay), ports, radius_deg)
-    rows = near.select("mmsi", F.col("port_id").cast("int").alias("port_id"), "port_name", "position_ts", "latitude", "longitude", "sog", F.unix_micros("position_ts").alias(_US))
-    state = "seen boolean, sog double, name string, since long, lat double, lon double, held binary"
-    calls = rows.groupBy("mmsi", "port_id").applyInPandasWithState(_calls(slow_kts), _CALL, state, "append", "EventTimeTimeout")
+    number = F.coalesce(F.col("port_id").cast("int").cast("long"), F.lit(_NONE)).alias("port_id")
+    part = F.pmod(F.xxhash64("mmsi"), F.lit(_STATES)).alias("part")
+    rows = near.select(part, "mmsi", number, "port_name", "position_ts", "latitude", "longitude", "sog", F.unix_micros("position_ts").alias(_US))
+    calls = rows.groupBy("part").applyInPandasWithState(_calls(slow_kts), _CALL, "held binary, known binary", "append", "EventTimeTimeout")
     return calls.select(
         "mmsi",
         "port_id",
