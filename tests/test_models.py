@@ -136,6 +136,24 @@ def test_delay_experiment_learns(spark, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_training_set_is_stored_once(spark):
+    """Of the tables of an experiment one stays, without the imputed copies; they are null nowhere."""
+    from pathlib import Path
+
+    from tidewatch.session import shared_dir
+
+    kept = Path(shared_dir(spark).removeprefix("file:"))
+    calls, fact = call_tables(spark)
+    no_types = fact.withColumn("vessel_type_code", F.when(F.col("vessel_key") != "3", F.col("vessel_type_code")))
+    before = set(kept.iterdir())
+    run = models.delay_experiment(calls, no_types, maxIter=2)
+    made = {p.name.rsplit("-", 1)[0]: p for p in set(kept.iterdir()) - before}
+    assert "training" in made and "delay-features" not in made
+    stored = spark.read.parquet(str(made["training"]))
+    assert stored.count() == 60 and not [c for c in stored.columns if c.startswith("ready_")]
+    assert run.scored.count() == 60 and run.scored.where("vessel_type_code is null").count() > 0
+
+
 def test_duration_experiment_beats_the_median(spark):
     calls, _ = call_tables(spark)
     vessels = spark.createDataFrame([(str(i), 70 + i, 10.0 * i, 1.0, 1.0) for i in range(9)],
